@@ -91,13 +91,11 @@ class CommitRecord:
     updated: int | None = None
 
     def write(self, spark: SparkSession, commits_path: str) -> None:
-        row = (
-            self.instant, self.kind, {k: v for k, v in self.spec.items() if v is not None},
-            json.dumps(self.schema.jsonValue()), self.meta, self.offsets,
-            self.rows, self.key_bytes, self.inserted, self.updated,
-        )
-        frame = spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
-        frame.write.mode("errorifexists").json(f"{commits_path}/{self.instant}")
+        record = {name: getattr(self, name) for name in COMMIT_SCHEMA.names}
+        record["schema"] = self.schema.json()
+        record["spec"] = {k: v for k, v in self.spec.items() if v is not None}
+        line = spark.range(1, numPartitions=1).select(F.lit(json.dumps(record)).alias("value"))
+        line.write.mode("errorifexists").text(f"{commits_path}/{self.instant}")
 
 
 def read_commits(spark: SparkSession, commits_path: str) -> DataFrame | None:

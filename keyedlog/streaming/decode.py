@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def decode_messages(
-    df: DataFrame, schema: T.StructType | str, value_format: str = "json"
+    df: DataFrame, schema: T.StructType | str, value_format: str = "json",
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Key as text, and the fields of the value as columns; a malformed value gives NULLs.
 
     ``schema`` describes the value and is fixed before a stream starts. For ``value_format``
     ``"avro"`` it is an Avro schema in JSON, and Spark's Avro module must be on the class path.
+    ``options`` are those of Spark's reader of the format.
     """
     if value_format == "json":
-        value = F.from_json(F.col("value").cast("string"), schema)
+        value = F.from_json(F.col("value").cast("string"), schema, dict(options or {}))
     elif value_format == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        value = from_avro(F.col("value"), schema, {"mode": "PERMISSIVE"})
+        value = from_avro(F.col("value"), schema, {"mode": "PERMISSIVE", **(options or {})})
     else:
         raise ValueError(f"unknown value format {value_format}")
     return df.select(F.col("key").cast("string").alias("key"), value.alias("value")).select(
