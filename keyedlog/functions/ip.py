@@ -18,11 +18,13 @@ def ip_to_long(ip: Column) -> Column:
 
     Dots at the end are ignored, and parts are not checked to be below 256.
     """
-    dotted = F.split(F.rtrim(ip, F.lit(".")), "[.]")
-    parts = F.transform(dotted, lambda part: part.try_cast("bigint"))
-    return F.aggregate(
+    parts = F.transform(
+        F.split(F.rtrim(ip, F.lit(".")), "[.]"), lambda part: part.try_cast("bigint")
+    )
+    number = F.aggregate(
         parts, F.lit(0).cast("bigint"), lambda total, part: F.shiftleft(total, 8).bitwiseOR(part)
     )
+    return F.when(ip.rlike(r"\A[0-9.]+\z"), number)
 
 
 def long_to_ip(number: Column) -> Column:

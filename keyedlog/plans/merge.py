@@ -97,8 +97,8 @@ class Merge:
     def partition_by(self, field, fn: Transform | None = None) -> "Merge":
         """Source column (and function) naming the target partitions; see ``key_by``.
 
-        ``NO_PARTITION`` stands for a target without partitions. Unset, it is the partition
-        field of the source table, unless the target has no partitions.
+        Unset, it is the partition field of the source table. A target without partitions needs
+        none, which ``NO_PARTITION`` says; there the partition is not compared.
         """
         self.partition, self.partition_fn = field, fn
         return self
@@ -137,6 +137,10 @@ class Merge:
         for name, value in missing.items():
             if not value:
                 raise ValueError(f"merge parameter {name} is not set")
+        if self.target.spec.partition:
+            field = self.source.spec.partition if self.partition is None else self.partition
+            if field is None or field is NO_PARTITION:
+                raise ValueError("the target has partitions: name the source column with partition_by")
         if self.source_alias.lower() == self.target_alias.lower():
             raise ValueError("source alias and target alias must differ")
 
@@ -151,12 +155,9 @@ class Merge:
         key = column(self.key or self.source.spec.key)
         if self.key_fn:
             key = self.key_fn(key.cast("string"))
-        field = self.partition
-        if field is None:
-            field = self.source.spec.partition if self.target.spec.partition else None
-        if field is None or field is NO_PARTITION:
+        if not self.target.spec.partition:
             return distinct_keys(source, key, None)
-        partition = column(field)
+        partition = column(self.partition or self.source.spec.partition)
         if self.partition_fn:
             partition = self.partition_fn(partition.cast("string"))
         return distinct_keys(source, key, partition)
