@@ -8,10 +8,21 @@ from pyspark.sql import types as T
 from .spec import RESERVED_COLS
 
 
+def relaxed(dtype: T.DataType) -> T.DataType:
+    """The type with every nested part nullable, as Parquet reads it."""
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(relaxed(dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        return T.MapType(relaxed(dtype.keyType), relaxed(dtype.valueType))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, relaxed(f.dataType)) for f in dtype.fields])
+    return dtype
+
+
 def schema_differences(incoming: T.StructType, stored: T.StructType) -> list[str]:
     """What differs between two schemas, one line per field; empty when they agree."""
-    new = {f.name: f.dataType for f in incoming.fields}
-    old = {f.name: f.dataType for f in stored.fields}
+    new = {f.name: f.dataType for f in relaxed(incoming).fields}
+    old = {f.name: f.dataType for f in relaxed(stored).fields}
     found = []
     for name in sorted(new.keys() | old.keys()):
         if name not in old:
@@ -35,11 +46,12 @@ def check_schema(df: DataFrame, stored: T.StructType) -> None:
 
 def evolved_schema(incoming: T.StructType, stored: T.StructType | None) -> T.StructType:
     """The stored schema grown by new columns; a changed type is an error."""
+    incoming = relaxed(incoming)
     reserved = [f.name for f in incoming.fields if f.name in RESERVED_COLS]
     if reserved:
-        raise ValueError(f"reserved column names in the input: {reserved}")
+        raise ValueError(f"reserved column names in the input (see drop_meta): {reserved}")
     if stored is None:
-        return T.StructType([T.StructField(f.name, f.dataType) for f in incoming.fields])
+        return incoming
     old = {f.name: f.dataType for f in stored.fields}
     lower = {name.lower(): name for name in old}
     fields = list(stored.fields)
@@ -47,7 +59,7 @@ def evolved_schema(incoming: T.StructType, stored: T.StructType | None) -> T.Str
         if f.name not in old:
             if f.name.lower() in lower:
                 raise ValueError(f"{f.name} differs from {lower[f.name.lower()]} only in case")
-            fields.append(T.StructField(f.name, f.dataType))
+            fields.append(f)
         elif old[f.name] != f.dataType:
             raise ValueError(
                 f"column {f.name} is {old[f.name].simpleString()} in the table "

@@ -21,7 +21,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +39,14 @@ Transform = Callable[[Column], Column]
 
 @dataclass(frozen=True)
 class MergeResult:
-    """What a merge wrote. ``instant`` is ``None`` when there was nothing new to read."""
+    """What a merge read and wrote. ``instant`` is ``None`` when there was nothing new to read.
+
+    ``read`` counts source rows after any aggregation, and may count rows of a retried task twice.
+    """
 
     inserted: int
     updated: int
+    read: int = 0
     instant: str | None = None
 
     @property
@@ -238,11 +242,13 @@ class Merge:
         found = self._inputs(app, cache=True)
         if found is None:
             return MergeResult(0, 0)
+        observed = Observation()
+        source = found.source.observe(observed, F.count(F.lit(1)).alias("read"))
         if found.candidates is None:
-            rows = self._inserted(found.source).withColumn(BRANCH, F.lit(INSERTED))
+            rows = self._inserted(source).withColumn(BRANCH, F.lit(INSERTED))
         else:
             rows = merged_rows(
-                found.source, found.candidates, self._names, self.on,
+                source, found.candidates, self._names, self.on,
                 self._update(found.target.schema), self._insert(found.source), found.target.schema,
             )
         try:
@@ -259,7 +265,8 @@ class Merge:
         finally:
             for frame in found.cached:
                 frame.unpersist()
-        return MergeResult(commit.inserted, commit.updated, commit.instant)
+        read = observed.get.get("read", 0)
+        return MergeResult(commit.inserted, commit.updated, read, commit.instant)
 
 
 @dataclass(frozen=True)

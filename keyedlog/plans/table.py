@@ -62,7 +62,12 @@ class KeyedTable:
 
     def timeline(self) -> Timeline | None:
         """All commits, or ``None`` if the table does not exist."""
-        return read_timeline(self.spark, self.spec.commits_path)
+        timeline = read_timeline(self.spark, self.spec.commits_path)
+        for field in ("key", "partition") if timeline else ():
+            stored, given = timeline.spec.get(field), getattr(self.spec, field)
+            if stored != given:
+                raise ValueError(f"the {field} of {self.spec.path} is {stored}, not {given}")
+        return timeline
 
     def _existing(self) -> Timeline:
         timeline = self.timeline()
@@ -290,10 +295,15 @@ class KeyedTable:
         after: Timeline | None = None,
     ) -> Commit:
         """Write rows with unique identities as a new batch, then the record that reveals it."""
-        timeline = after or self.timeline()
-        stored = None if timeline is None or kind == "overwrite" else timeline.schema
+        if kind == "overwrite":
+            # Only the last instant matters: rows, schema, offsets and layout all start anew.
+            timeline = read_timeline(self.spark, self.spec.commits_path)
+            stored, carried = None, {}
+        else:
+            timeline = after or self.timeline()
+            stored = timeline.schema if timeline else None
+            carried = dict(timeline.offsets) if timeline else {}
         schema = stored if incoming is None else evolved_schema(incoming, stored)
-        carried = {} if timeline is None or kind == "overwrite" else dict(timeline.offsets)
         if offsets:
             carried[app] = {**carried.get(app, {}), **offsets}
         instant = next_instant(timeline.last_instant if timeline else BEGINNING)

@@ -46,7 +46,7 @@ def test_counts_and_totals_of_two_merges(spark, pair):
     assert (result.inserted, result.updated) == (11, 0)
     source.upsert(rows.where(number % 2 == 1))
     result = fares(spark, source, target).execute()
-    assert (result.inserted, result.updated, result.written) == (4, 11, 15)
+    assert (result.read, result.inserted, result.updated, result.written) == (15, 4, 11, 15)
     total = target.snapshot().agg(F.count(F.lit(1)), F.sum("fare")).first()
     assert (total[0], float(total[1])) == (15, 43320.41)
     assert dict(target.snapshot().dtypes)["fare"] == "decimal(22,2)"
@@ -57,7 +57,7 @@ def test_a_merge_without_new_commits_does_nothing(spark, pair, frame):
     source.upsert(frame([("1", "x", "a", 5, 1)], "uuid string, p string, driver string, fare bigint, ts bigint"))
     assert fares(spark, source, target).execute().inserted == 1
     last = target.last_instant()
-    assert fares(spark, source, target).execute() == MergeResult(0, 0, None)
+    assert fares(spark, source, target).execute() == MergeResult(0, 0, 0, None)
     assert target.last_instant() == last
     assert target.offsets() == {"order": source.last_instant()}
 
@@ -104,7 +104,7 @@ def test_several_source_rows_for_one_target_row_see_the_stored_value(spark, make
     target.upsert(frame([("a", 1, 100)], "k string, ts bigint, v bigint"))
     source.upsert(frame([("1", "a", 5, 1), ("2", "a", 9, 2), ("3", "a", 7, 4)], "id string, k string, ts bigint, v bigint"))
     result = by_key(spark, source, target, insert={"k": "s.k", "ts": "s.ts", "v": "s.v"}).key_by("k").execute()
-    assert (result.inserted, result.updated) == (0, 1)
+    assert (result.read, result.inserted, result.updated) == (3, 0, 1)
     assert contents(target.snapshot()) == [("a", 9, 102)]
 
 
@@ -211,7 +211,8 @@ def test_a_source_with_deletes_only_still_moves_the_offset(spark, pair, frame):
     source.upsert(frame([("1", "x", "a", 5, 1)], schema))
     fares(spark, source, target).execute()
     source.delete(frame([("1", "x")], "uuid string, p string"))
-    assert fares(spark, source, target).execute().written == 0
+    result = fares(spark, source, target).execute()
+    assert (result.read, result.written) == (0, 0)
     assert target.offsets() == {"order": source.last_instant()}
     assert contents(target.snapshot()) == [("a", 5, 1)]
 

@@ -171,6 +171,35 @@ def test_needed_columns_are_named_when_missing(make_table, frame):
         make_table(partition="p").upsert(frame([("a", 1)], "k string, ts bigint"))
 
 
+def test_nested_nullability_is_no_difference(make_table, spark):
+    t = make_table()
+    row = spark.range(1).selectExpr("'a' k", "id ts", "array(1, 2) xs", "named_struct('n', 1) s")
+    t.upsert(row)
+    t.upsert(row.selectExpr("'b' k", "ts", "array(1, null) xs", "named_struct('n', int(null)) s"))
+    t.check_schema(t.snapshot().select("k", "ts", "xs", "s"))
+    assert sorted(r["k"] for r in t.snapshot().collect()) == ["a", "b"]
+
+
+def test_a_table_keeps_its_key_and_partition(make_table, frame, spark):
+    t = make_table(partition="p")
+    t.upsert(frame([("a", "x", 1, 1)]))
+    other = KeyedTable(spark, TableSpec("t", t.spec.path, "k", "ts"))
+    for action in (other.snapshot, lambda: other.upsert(frame([("a", "x", 1, 1)]))):
+        with pytest.raises(ValueError, match="the partition of .* is p, not None"):
+            action()
+    other.overwrite(frame([("a", "y", 1, 2), ("a", "x", 2, 3)]))
+    assert contents(other.snapshot()) == [("a", "x", 2, 3)]
+
+
+def test_a_snapshot_can_be_written_back_without_bookkeeping(make_table, frame):
+    t = make_table()
+    t.upsert(frame([("a", "x", 1, 1)]))
+    with pytest.raises(ValueError, match="drop_meta"):
+        t.upsert(t.snapshot())
+    t.upsert(drop_meta(t.snapshot()).withColumn("v", F.col("v") + 1))
+    assert contents(t.snapshot()) == [("a", "x", 1, 2)]
+
+
 # ---- commits --------------------------------------------------------------------------
 
 
