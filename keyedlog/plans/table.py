@@ -28,6 +28,7 @@ from ..operators.sizing import Size, broadcast_within, measure
 from ..sources.commits import (
     Commit, CommitRecord, Timeline, next_instant, read_commits, read_timeline,
 )
+from ..sources.paths import partition_values
 from ..spec import (
     BATCH, BEGINNING, BRANCH, COMMIT_TIME, DEFAULT_PARTITION, IDENTITY, OP, PARTITION_PATH,
     RECORD_KEY, TableSpec,
@@ -38,6 +39,9 @@ LITERAL_KEYS = 1000
 #: More distinct partition values than this are not listed in a filter.
 LITERAL_PARTITIONS = 1000
 
+#: Commits writing more partitions than this do not record which.
+RECORDED_PARTITIONS = 100
+
 #: Bloom filters let a point lookup skip row groups of randomly distributed keys.
 WRITE_OPTIONS = {
     f"parquet.bloom.filter.enabled#{RECORD_KEY}": "true",
@@ -144,7 +148,22 @@ class KeyedTable:
         changes = keep(self._read(later, timeline.schema))
         size = Size(sum(c.size.rows for c in later), sum(c.size.bytes for c in later))
         changed = broadcast_within(changes.select(*IDENTITY), size)
-        return reconcile(rows, latest(changes) if len(later) > 1 else changes, changed)
+        newest = latest(changes) if len(later) > 1 else changes
+        touched = None if size.broadcastable else self._touched(later)
+        if touched is None:
+            return reconcile(rows, newest, changed)
+        # Partitions without changes are read as they are, without a shuffle.
+        inside = F.col(PARTITION_PATH).isin(touched)
+        return live(rows.where(~inside)).unionByName(
+            reconcile(rows.where(inside), newest, changed)
+        )
+
+    def _touched(self, commits: Sequence[Commit]) -> list[str] | None:
+        """Partitions the commits wrote to, if few and known."""
+        if not self.spec.partition or any(c.partitions is None for c in commits):
+            return None
+        touched = {p for c in commits for p in c.partitions}
+        return sorted(touched) if len(touched) <= LITERAL_PARTITIONS else None
 
     def snapshot(self) -> DataFrame:
         """The latest version of every live row: user columns and bookkeeping columns."""
@@ -321,14 +340,21 @@ class KeyedTable:
         writer = writer.mode("errorifexists").options(**{**WRITE_OPTIONS, **(options or {})})
         writer.parquet(self.spec.batch_path(instant))
 
+        written = None
+        if self.spec.partition:
+            written = partition_values(self.spark, self.spec.batch_path(instant), PARTITION_PATH)
+            written = written if len(written) <= RECORDED_PARTITIONS else None
+
         found = observed.get
         size = Size(found["rows"], found["key_bytes"] or 0)
         CommitRecord(
             instant=instant, kind=kind, spec=self.spec.describe(), schema=schema,
             meta=dict(meta or {}), offsets=carried, rows=size.rows, key_bytes=size.bytes,
-            inserted=found.get("inserted"), updated=found.get("updated"),
+            inserted=found.get("inserted"), updated=found.get("updated"), partitions=written,
         ).write(self.spark, self.spec.commits_path)
-        return Commit(instant, kind, size, found.get("inserted"), found.get("updated"))
+        return Commit(
+            instant, kind, size, found.get("inserted"), found.get("updated"), written
+        )
 
     def _arrange(self, rows: DataFrame, parallelism: int | None) -> DataFrame:
         """Place rows for writing, ordered by key so that page statistics are selective.

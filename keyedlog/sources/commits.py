@@ -33,6 +33,7 @@ COMMIT_SCHEMA = (
     .add("key_bytes", T.LongType())
     .add("inserted", T.LongType())
     .add("updated", T.LongType())
+    .add("partitions", T.ArrayType(T.StringType()))
 )
 
 #: Kinds after which older batches are no longer part of the table's current rows.
@@ -46,6 +47,8 @@ class Commit:
     size: Size
     inserted: int | None = None
     updated: int | None = None
+    #: Partition paths written, or ``None`` if they are too many to record.
+    partitions: list[str] | None = None
 
 
 @dataclass(frozen=True)
@@ -89,6 +92,7 @@ class CommitRecord:
     key_bytes: int = 0
     inserted: int | None = None
     updated: int | None = None
+    partitions: list[str] | None = None
 
     def write(self, spark: SparkSession, commits_path: str) -> None:
         record = {name: getattr(self, name) for name in COMMIT_SCHEMA.names}
@@ -114,7 +118,7 @@ def read_timeline(spark: SparkSession, commits_path: str) -> Timeline | None:
     log = read_commits(spark, commits_path)
     if log is None:
         return None
-    brief = F.struct("instant", "kind", "rows", "key_bytes")
+    brief = F.struct("instant", "kind", "rows", "key_bytes", "partitions")
     head = log.agg(
         F.array_sort(F.collect_list(brief)).alias("commits"),
         F.max_by(F.struct("spec", "schema", "offsets"), "instant").alias("last"),
@@ -124,7 +128,10 @@ def read_timeline(spark: SparkSession, commits_path: str) -> Timeline | None:
     last = head["last"]
     return Timeline(
         commits=[
-            Commit(c["instant"], c["kind"], Size(c["rows"], c["key_bytes"]))
+            Commit(
+                c["instant"], c["kind"], Size(c["rows"], c["key_bytes"]),
+                partitions=c["partitions"],
+            )
             for c in head["commits"]
         ],
         spec=dict(last["spec"]),

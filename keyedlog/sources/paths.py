@@ -4,14 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the partition directories ``column=value`` in a folder just written."""
+    system, place = _place(spark, path)
+    names = [status.getPath().getName() for status in system.listStatus(place)]
+    prefix = f"{column}="
+    return sorted(unquote(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -56,6 +56,21 @@ def test_a_large_change_is_joined_by_a_shuffle(kept, spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_large_change_leaves_other_partitions_alone(kept, spark, monkeypatch):
+    """Only the base rows of partitions that changed are shuffled."""
+    table, rows = kept
+    table.upsert(rows.where("p = 'p1'").withColumn("v", F.col("v") + 1))
+    table.delete(rows.where("k = '2'"))
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    found = table.snapshot()
+    text = plan(found)
+    untouched, joined = text.split("LeftAnti", 1)
+    assert "Exchange" not in untouched and "NOT _partition_path" in untouched
+    assert "_partition_path" in joined and " IN (p1,p2)" in joined
+    expected = {i: i + (i % 4 == 1) for i in range(100) if i != 2}
+    assert {int(r["k"]): r["v"] for r in found.collect()} == expected
+
+
 def test_filters_on_the_partition_prune_directories(kept):
     table, _ = kept
     text = plan(table.snapshot().where("_partition_path = 'p1'"))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyedlog import KeyedTable, TableSpec
+from keyedlog.operators import sizing
 from keyedlog.operators.rows import drop_meta
 from keyedlog.plans import table as table_module
 from keyedlog.sources.commits import next_instant
@@ -95,8 +96,10 @@ def test_compaction_changes_no_read(make_table, frame):
     assert contents(t.snapshot()) == [("a", "x", 2, 4), ("c", "y", 3, 9)]
 
 
-def test_snapshot_follows_a_dictionary_model(make_table, frame):
+@pytest.mark.parametrize("limit", [sizing.BROADCAST_ROWS, 0])
+def test_snapshot_follows_a_dictionary_model(make_table, frame, monkeypatch, limit):
     """Random writes against a plain dictionary that applies the same operations."""
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", limit)
     rng = random.Random(7)
     t, model = make_table(partition="p"), {}
     for step in range(12):
@@ -282,10 +285,11 @@ def test_offsets_are_carried_forward_and_reset_by_an_overwrite(make_table, frame
 
 def test_partition_values_survive_as_text(make_table, frame):
     t = make_table(partition="p")
-    values = ["americas/united_states/san_francisco", "007", "2021-01-01", "a=b c%d", "1.50"]
+    values = ["americas/united_states/san_francisco", "007", "2021-01-01", "a=b c%d%41", "1.50", "日本"]
     t.upsert(frame([("a", p, 1, 1) for p in values]))
     t.upsert(frame([("b", p, 1, 1) for p in values]))
     assert {r["_partition_path"] for r in t.snapshot().collect()} == set(values)
+    assert set(t.timeline().commits[0].partitions) == set(values)
     assert t.lookup([("a", values[0]), ("b", "007")]).count() == 2
 
 
@@ -350,8 +354,6 @@ PAIRS = [(str(i), f"p{i % 5}") for i in range(0, 700, 7)] + [("3", "p0"), ("x",
 @pytest.mark.parametrize("size", [1 << 20, 0])
 def test_lookup_is_the_same_by_every_way(looked_up, spark, monkeypatch, literal, partitions, size):
     """Literals, broadcast and shuffle join, with and without a partition filter."""
-    from keyedlog.operators import sizing
-
     monkeypatch.setattr(table_module, "LITERAL_KEYS", literal)
     monkeypatch.setattr(table_module, "LITERAL_PARTITIONS", partitions)
     monkeypatch.setattr(sizing, "BROADCAST_BYTES", size)
