@@ -1,6 +1,6 @@
 """Key lookup over table sizes and partition counts: one key, and one hundred.
 
-    python bench/lookup_sweep.py [largest row total]
+    python benchmarks/lookup_sweep.py [largest row total]
 
 Keys are row numbers as text and rows take turns over the partitions.
 """

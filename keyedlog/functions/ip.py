@@ -18,8 +18,9 @@ def ip_to_long(ip: Column) -> Column:
 
     Dots at the end are ignored, and parts are not checked to be below 256.
     """
+    # An escaped dot splits several times faster than "[.]": it needs no regular expression.
     parts = F.transform(
-        F.split(F.rtrim(ip, F.lit(".")), "[.]"), lambda part: part.try_cast("bigint")
+        F.split(F.rtrim(ip, F.lit(".")), r"\."), lambda part: part.try_cast("bigint")
     )
     number = F.aggregate(
         parts, F.lit(0).cast("bigint"), lambda total, part: F.shiftleft(total, 8).bitwiseOR(part)

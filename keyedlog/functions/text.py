@@ -26,7 +26,11 @@ def parse_json(df: DataFrame, text: str, schema: str) -> DataFrame:
 def infer_json_schema(df: DataFrame, text: str) -> str:
     """DDL of the JSON objects in a column, from all rows, as one distributed aggregate.
 
-    Decimal numbers become ``DOUBLE``; malformed text is skipped.
+    Decimal numbers become ``DOUBLE``, fields that are always null ``STRING``; malformed text is
+    skipped.
     """
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(text)).alias("s")).first()["s"]
-    return re.sub(r"DECIMAL\(\d+, ?\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    if not found or not found.startswith("OBJECT<"):
+        raise ValueError(f"column {text} holds no JSON objects, or not only objects")
+    ddl = re.sub(r"DECIMAL\(\d+, ?\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    return re.sub(r"\bVOID\b", "STRING", ddl)

@@ -18,6 +18,7 @@ also holds the new offset. Run again without new source commits, a merge does no
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -166,8 +167,11 @@ class Merge:
             partition = self.partition_fn(partition.cast("string"))
         return distinct_keys(source, key, partition)
 
-    def _inputs(self, app: str, cache: bool) -> "_Inputs | None":
-        """Everything up to the final join, or ``None`` if the source has no new commit."""
+    def _inputs(self, app: str, held: ExitStack | None = None) -> "_Inputs | None":
+        """Everything up to the final join, or ``None`` if the source has no new commit.
+
+        What several jobs of the merge use is cached until ``held`` is closed.
+        """
         self._check()
         timeline = self.target.timeline()
         consumed = {} if timeline is None else timeline.offsets.get(app, {})
@@ -179,11 +183,10 @@ class Merge:
         if begin == end:
             return None
 
-        cached: list[DataFrame] = []
-
         def hold(frame: DataFrame) -> DataFrame:
-            if cache:
-                cached.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
+            if held is not None:
+                frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+                held.callback(frame.unpersist)
             return frame
 
         source = drop_meta(self.source.changes(commits, begin, end))
@@ -192,7 +195,7 @@ class Merge:
         candidates = None
         if timeline is not None:
             candidates = drop_meta(self.target.candidates(timeline, hold(self._keys(source))))
-        return _Inputs(source, candidates, timeline, end, cached)
+        return _Inputs(source, candidates, timeline, end)
 
     def _update(self, schema: T.StructType) -> dict[str, Column]:
         return update_projection(schema, self.target_alias, self.update)
@@ -212,7 +215,7 @@ class Merge:
 
     def updates(self, app: str = "default") -> DataFrame:
         """Preview of the rows that matched source rows would write, before deduplication."""
-        found = self._inputs(app, cache=False)
+        found = self._inputs(app)
         if found is None or found.candidates is None:
             raise ValueError("no new source commits, or no target table to update")
         return matched_rows(
@@ -221,7 +224,7 @@ class Merge:
 
     def inserts(self, app: str = "default") -> DataFrame:
         """Preview of the rows that unmatched source rows would write, before deduplication."""
-        found = self._inputs(app, cache=False)
+        found = self._inputs(app)
         if found is None:
             raise ValueError("no new source commits")
         if found.candidates is None:
@@ -239,19 +242,19 @@ class Merge:
         ``app`` names the consumer whose offsets are read and advanced. Where an inserted and
         an updated row have the same identity, the updated one is kept.
         """
-        found = self._inputs(app, cache=True)
-        if found is None:
-            return MergeResult(0, 0)
-        observed = Observation()
-        source = found.source.observe(observed, F.count(F.lit(1)).alias("read"))
-        if found.candidates is None:
-            rows = self._inserted(source).withColumn(BRANCH, F.lit(INSERTED))
-        else:
-            rows = merged_rows(
-                source, found.candidates, self._names, self.on,
-                self._update(found.target.schema), self._insert(found.source), found.target.schema,
-            )
-        try:
+        with ExitStack() as held:
+            found = self._inputs(app, held)
+            if found is None:
+                return MergeResult(0, 0)
+            observed = Observation()
+            source = found.source.observe(observed, F.count(F.lit(1)).alias("read"))
+            if found.candidates is None:
+                rows = self._inserted(source).withColumn(BRANCH, F.lit(INSERTED))
+            else:
+                rows = merged_rows(
+                    source, found.candidates, self._names, self.on,
+                    self._update(found.target.schema), self._insert(source), found.target.schema,
+                )
             commit = self.target.upsert(
                 rows,
                 first=[F.col(BRANCH).asc()],
@@ -262,10 +265,7 @@ class Merge:
                 offsets={self.source.spec.name: found.end},
                 app=app, parallelism=parallelism, options=options, after=found.target,
             )
-        finally:
-            for frame in found.cached:
-                frame.unpersist()
-        read = observed.get.get("read", 0)
+            read = observed.get.get("read", 0)
         return MergeResult(commit.inserted, commit.updated, read, commit.instant)
 
 
@@ -275,4 +275,3 @@ class _Inputs:
     candidates: DataFrame | None
     target: Timeline | None
     end: str
-    cached: list[DataFrame]

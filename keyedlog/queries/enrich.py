@@ -12,7 +12,7 @@ from ..operators.rows import drop_meta
 from ..operators.self_join import self_join_totals, with_group_totals
 from ..plans.enrich import Enrichment
 from ..sources.paths import scratch_path
-from ..sources.rules import with_address
+from ..sources.rules import with_address, with_place
 from .fixtures import (
     FIRST_DAY, SQL_RULES, SQL_TRIPS, as_double, ip_rules, ip_rules_from_file, table, trip_table,
     trips,
@@ -33,6 +33,12 @@ def ip_enrich(spark, sf_dir):
     return found.select("uuid", "rider", "address")
 
 
+def ip_places(spark, sf_dir):
+    """Country, province and city of every trip's address."""
+    found = with_place(trips(spark, sf_dir), ip_rules(spark, sf_dir), "rider")
+    return found.select("uuid", "country", "province", "city")
+
+
 def ip_enrich_incremental(spark, sf_dir):
     """New trips since the last run, with their country, replace the address table."""
     source = trip_table(spark)
@@ -141,6 +147,7 @@ QUERIES = {
     "ip_rules_load": ip_rules_load,
     "ip_rules_sorted": ip_rules_sorted,
     "ip_enrich": ip_enrich,
+    "ip_places": ip_places,
     "ip_enrich_incremental": ip_enrich_incremental,
     "ip_to_long": ip_to_long_query,
     "ip_valid": ip_valid_query,
@@ -165,6 +172,10 @@ ORACLE = {
     "ip_rules_sorted": f"with {SQL_RULES} select * from rules order by start_num",
     "ip_enrich": f"""with {SQL_TRIPS}, {SQL_RULES}
 select uuid, rider, coalesce(country, '{UNKNOWN}') as address
+from trips left join rules on num between start_num and end_num""",
+    "ip_places": f"""with {SQL_TRIPS}, {SQL_RULES}
+select uuid, coalesce(country, '{UNKNOWN}') as country, coalesce(province, '{UNKNOWN}') as province,
+  coalesce(city, '{UNKNOWN}') as city
 from trips left join rules on num between start_num and end_num""",
     "ip_enrich_incremental": f"""with {SQL_TRIPS}, {SQL_RULES},
 newest as (select * from (

@@ -180,7 +180,7 @@ def json_source(spark, sf_dir):
 def _numbered(log):
     """Commits of one table, numbered in order instead of showing their instants."""
     order = Window.partitionBy("spec.name").orderBy("instant")
-    return log.withColumn("seq", F.row_number().over(order).cast("bigint"))
+    return log.withColumn("seq", F.row_number().over(order))
 
 
 def commit_timeline(spark, sf_dir):

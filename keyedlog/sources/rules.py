@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ip import UNKNOWN, ip_to_long
 from ..operators.range_join import range_join
+from ..operators.rows import column
 
 # Fixed format of a rule line.
 RULE_SCHEMA = "start_num bigint, end_num bigint, country string, province string, city string"
@@ -24,9 +27,24 @@ def read_ip_rules(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def with_place(
+    df: DataFrame, rules: DataFrame, ip: str, columns: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Add columns of the rule that holds the address in ``ip``, or ``UNKNOWN``.
+
+    ``columns`` maps new columns to rule columns; unset, country, province and city are added.
+    """
+    columns = columns or {name: name for name in ("country", "province", "city")}
+    chosen = rules.select(
+        "start_num", "end_num", *[F.col(c).alias(f"_place_{n}") for n, c in columns.items()]
+    )
+    found = range_join(df, chosen, ip_to_long(column(ip)))
+    return found.select(
+        *[column(c) for c in df.columns],
+        *[F.coalesce(f"_place_{n}", F.lit(UNKNOWN)).alias(n) for n in columns],
+    )
+
+
 def with_address(df: DataFrame, rules: DataFrame, ip: str, address: str = "address") -> DataFrame:
-    """Add the country of the rule that holds the address in ``ip``, or ``UNKNOWN``."""
-    found = range_join(df, rules.select("start_num", "end_num", F.col("country").alias("_place")),
-                       ip_to_long(F.col(ip)))
-    place = F.coalesce("_place", F.lit(UNKNOWN))
-    return found.select(*df.columns, place.alias(address))
+    """Add the country of the address in ``ip``."""
+    return with_place(df, rules, ip, {address: "country"})

@@ -8,7 +8,7 @@ from keyedlog.operators import sizing
 from keyedlog.operators.range_join import check_rules, overlapping_rules, range_join
 from keyedlog.operators.self_join import self_join_totals, with_group_totals
 from keyedlog.plans.enrich import Enrichment
-from keyedlog.sources.rules import RULE_SCHEMA, read_ip_rules, with_address
+from keyedlog.sources.rules import RULE_SCHEMA, read_ip_rules, with_address, with_place
 
 TEXTS = ["1.2.3.4", "0.1.2.3", "256.1.1.1", "rider-213", "", None, "255.255.255.255", "01.2.3.4",
          "1.2.3", "1.2.3.4.5", "1.2.3.4\n", "x1.2.3.4", "1.2.3.4.", "300.1"]
@@ -97,6 +97,14 @@ def test_addresses_default_to_unknown(spark):
     ]
 
 
+def test_all_parts_of_a_place_default_to_unknown(spark):
+    rules = spark.createDataFrame([(0, 9, "land", None, "town")], RULE_SCHEMA)
+    df = spark.createDataFrame([("0.0.0.7",), ("0.0.0.10",)], "`the.ip` string")
+    assert [tuple(r)[1:] for r in with_place(df, rules, "the.ip").collect()] == [
+        ("land", UNKNOWN, "town"), (UNKNOWN, UNKNOWN, UNKNOWN),
+    ]
+
+
 def test_incremental_enrichment_replaces_the_target_and_moves_on(make_table, frame):
     source, target = make_table("ip", partition="p"), make_table("address", partition="p")
     step = Enrichment(source, target)

@@ -69,6 +69,15 @@ def test_json_schema_from_all_rows(spark):
     assert json_strings(spark, lines[:2], "a int").agg(F.sum("a")).first()[0] == 3
 
 
+def test_json_schema_of_odd_names_and_of_nothing(spark):
+    df = spark.createDataFrame([('{"a b": 1, "c:d": "x", "g": null}',)], "t string")
+    found = json_records(df, "t").first()
+    assert (found["a b"], found["c:d"], found["g"]) == (1, "x", None)
+    for text in ("nope", "[1]", "3"):
+        with pytest.raises(ValueError, match="no JSON objects"):
+            infer_json_schema(spark.createDataFrame([(text,)], "t string"), "t")
+
+
 def test_json_files(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"a": 1}\n{"a": 2, "b": "z"}\n')
     assert read_json_lines(spark, str(tmp_path)).columns == ["a", "b"]
