@@ -13,7 +13,7 @@ pick the same instant fails on the existing path.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence, Set
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -135,13 +135,20 @@ class KeyedTable:
             OP,
         )
 
-    def _current(self, timeline: Timeline, keep=None, kept_size: Size | None = None) -> DataFrame:
+    def _current(
+        self,
+        timeline: Timeline,
+        keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        places: Set[str] | None = None,
+    ) -> DataFrame:
         """The live rows, restricted by ``keep`` before versions are compared.
 
         ``keep`` may look at the identity only, so it commutes with picking the latest version.
+        ``places`` are the only partitions it lets through, if that is known.
         """
         base, *later = timeline.current()
-        keep = keep or (lambda rows: rows)
+        if places is not None:
+            later = [c for c in later if c.partitions is None or not places.isdisjoint(c.partitions)]
         rows = keep(self._read([base], timeline.schema))
         if not later:
             return live(rows)
@@ -203,6 +210,7 @@ class KeyedTable:
             return self._read([], schema or T.StructType()).drop(OP)
         if not isinstance(keys, DataFrame):
             pairs = {self._pair(key) for key in keys}
+            pairs = {(key, place) for key, place in pairs if key}
             if len(pairs) <= LITERAL_KEYS:
                 return self._literal_lookup(timeline, pairs)
             keys = self.spark.createDataFrame(sorted(pairs), KEYS_SCHEMA)
@@ -214,10 +222,12 @@ class KeyedTable:
             found.unpersist()
 
     def _pair(self, key: str | tuple[str, str | None]) -> tuple[str, str]:
-        text, *place = key if isinstance(key, (tuple, list)) else (key,)
+        key, *place = key if isinstance(key, (tuple, list)) else (key,)
+        text = "" if key is None else str(key)
         if not self.spec.partition:
-            return str(text), ""
-        return str(text), str(place[0]) if place and place[0] else DEFAULT_PARTITION
+            return text, ""
+        given = "" if not place or place[0] is None else str(place[0])
+        return text, given or DEFAULT_PARTITION
 
     def _literal_lookup(self, timeline: Timeline, pairs: set[tuple[str, str]]) -> DataFrame:
         """Lookup of few keys by filters that Parquet can use to skip data."""
@@ -225,13 +235,13 @@ class KeyedTable:
         wanted = self.spark.createDataFrame(sorted(pairs), KEYS_SCHEMA)
 
         def keep(rows: DataFrame) -> DataFrame:
-            rows = rows.where(F.col(RECORD_KEY).isin([key for key, _ in pairs]))
+            rows = rows.where(F.col(RECORD_KEY).isin(sorted({key for key, _ in pairs})))
             if self.spec.partition:
-                rows = rows.where(F.col(PARTITION_PATH).isin(list(places)))
+                rows = rows.where(F.col(PARTITION_PATH).isin(sorted(places)))
             # Within one partition the key alone decides.
             return rows if len(places) <= 1 else semi_join(rows, F.broadcast(wanted))
 
-        return self._current(timeline, keep)
+        return self._current(timeline, keep, places if self.spec.partition else None)
 
     def candidates(self, timeline: Timeline, pairs: DataFrame) -> DataFrame:
         """Rows whose identity is among distinct ``pairs``, which are evaluated several times."""
@@ -242,15 +252,16 @@ class KeyedTable:
         places = None
         if self.spec.partition:
             found = pairs.select(PARTITION_PATH).distinct().limit(LITERAL_PARTITIONS + 1).collect()
-            places = [r[PARTITION_PATH] for r in found]
+            if len(found) <= LITERAL_PARTITIONS:
+                places = {r[PARTITION_PATH] for r in found}
         wanted = broadcast_within(pairs, size)
 
         def keep(rows: DataFrame) -> DataFrame:
-            if places is not None and len(places) <= LITERAL_PARTITIONS:
-                rows = rows.where(F.col(PARTITION_PATH).isin(places))
+            if places is not None:
+                rows = rows.where(F.col(PARTITION_PATH).isin(sorted(places)))
             return semi_join(rows, wanted)
 
-        return self._current(timeline, keep)
+        return self._current(timeline, keep, places)
 
     # ---- writes ---------------------------------------------------------------------
 

@@ -16,7 +16,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("keyedlog-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")

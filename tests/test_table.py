@@ -102,7 +102,7 @@ def test_snapshot_follows_a_dictionary_model(make_table, frame, monkeypatch, lim
     monkeypatch.setattr(sizing, "BROADCAST_ROWS", limit)
     rng = random.Random(7)
     t, model = make_table(partition="p"), {}
-    for step in range(12):
+    for step in range(9):
         batch = [
             (f"k{rng.randrange(12)}", rng.choice("xyz"), rng.randrange(5), step * 100 + i)
             for i in range(rng.randrange(1, 15))
@@ -371,6 +371,15 @@ def test_single_key_lookup_reaches_the_scan(looked_up):
     assert [r["v"] for r in found.collect()] == [7]
 
 
+def test_lookup_skips_commits_to_other_partitions(looked_up, spark):
+    rows = spark.createDataFrame([("7", "p9", 1, 1)], "k string, p string, ts bigint, v bigint")
+    other = looked_up.upsert(rows).instant
+    found = looked_up.lookup([("7", "p2"), (None, "p2"), ("", None)])
+    assert not any(other in name for name in found.inputFiles())
+    assert [r["v"] for r in found.collect()] == [7]
+    assert looked_up.lookup([("7", "p9")]).count() == 1
+
+
 def test_lookup_without_partitions_and_without_a_table(make_table, frame, spark):
     t = make_table()
     assert t.lookup([("a", None)]).count() == 0
