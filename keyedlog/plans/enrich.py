@@ -26,12 +26,14 @@ class Enrichment:
         The consumed instant is committed together with the data. Without new commits nothing
         is written and ``None`` returned.
         """
+        commits = self.source.timeline()
+        if commits is None:
+            raise ValueError(f"source table {self.source.spec.name} does not exist")
         consumed = self.target.offsets(app)
-        end = self.source.last_instant()
-        begin = consumed.get(self.source.spec.name, BEGINNING)
+        begin, end = consumed.get(self.source.spec.name, BEGINNING), commits.last_change
         if begin == end:
             return None
-        new = drop_meta(self.source.incremental(begin, end))
+        new = drop_meta(self.source.changes(commits, begin, end))
         return self.target.overwrite(
             transform(new), offsets={**consumed, self.source.spec.name: end}, app=app, **kwargs
         )

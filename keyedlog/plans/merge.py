@@ -179,7 +179,7 @@ class Merge:
         commits = self.source.timeline()
         if commits is None:
             raise ValueError(f"source table {self.source.spec.name} does not exist")
-        end = commits.last_instant
+        end = commits.last_change
         if begin == end:
             return None
 
@@ -191,9 +191,10 @@ class Merge:
 
         source = drop_meta(self.source.changes(commits, begin, end))
         if self.sql is not None:
-            source = hold(self._aggregated(source))
+            source = self._aggregated(source)
         candidates = None
         if timeline is not None:
+            source = hold(source) if self.sql is not None else source
             candidates = drop_meta(self.target.candidates(timeline, hold(self._keys(source))))
         return _Inputs(source, candidates, timeline, end)
 

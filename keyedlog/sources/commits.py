@@ -64,6 +64,11 @@ class Timeline:
     def last_instant(self) -> str:
         return self.commits[-1].instant if self.commits else BEGINNING
 
+    @property
+    def last_change(self) -> str:
+        """Instant of the last commit that changed rows; compactions do not."""
+        return max((c.instant for c in self.commits if c.kind != "compact"), default=BEGINNING)
+
     def current(self) -> list[Commit]:
         """The batches holding the current rows: the last full one and all after it."""
         starts = [i for i, c in enumerate(self.commits) if c.kind in BASE_KINDS]

@@ -117,7 +117,9 @@ def test_incremental_enrichment_replaces_the_target_and_moves_on(make_table, fra
     step.execute(double)
     assert [(r["k"], r["w"]) for r in target.snapshot().collect()] == [("b", 4)]
     assert target.offsets() == {"ip": source.last_instant()}
+    source.compact()
     assert step.execute(double) is None
+    assert target.snapshot().count() == 1
 
 
 def test_self_join_totals_against_the_join_itself(spark):

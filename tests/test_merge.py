@@ -60,6 +60,8 @@ def test_a_merge_without_new_commits_does_nothing(spark, pair, frame):
     assert fares(spark, source, target).execute() == MergeResult(0, 0, 0, None)
     assert target.last_instant() == last
     assert target.offsets() == {"order": source.last_instant()}
+    source.compact()
+    assert fares(spark, source, target).execute().instant is None
 
 
 def test_a_repeated_merge_after_a_lost_commit_gives_the_same(spark, pair, frame, monkeypatch):
