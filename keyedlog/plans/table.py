@@ -24,7 +24,7 @@ from ..operators.rows import (
     column, dedupe, distinct_keys, latest, live, partition_path, reconcile, record_key,
     semi_join, with_identity,
 )
-from ..operators.sizing import Size, broadcast_within, measure
+from ..operators.sizing import Size, broadcast_within, measure, value_bytes
 from ..sources.commits import (
     Commit, CommitRecord, Timeline, next_instant, read_commits, read_timeline,
 )
@@ -215,11 +215,7 @@ class KeyedTable:
                 return self._literal_lookup(timeline, pairs)
             keys = self.spark.createDataFrame(sorted(pairs), KEYS_SCHEMA)
         partition = column(keys.columns[1]) if self.spec.partition else None
-        found = distinct_keys(keys, column(keys.columns[0]), partition).persist()
-        try:
-            return self.candidates(timeline, found)
-        finally:
-            found.unpersist()
+        return self.candidates(timeline, distinct_keys(keys, column(keys.columns[0]), partition))
 
     def _pair(self, key: str | tuple[str, str | None]) -> tuple[str, str]:
         key, *place = key if isinstance(key, (tuple, list)) else (key,)
@@ -244,16 +240,11 @@ class KeyedTable:
         return self._current(timeline, keep, places if self.spec.partition else None)
 
     def candidates(self, timeline: Timeline, pairs: DataFrame) -> DataFrame:
-        """Rows whose identity is among distinct ``pairs``, which are evaluated several times."""
-        size = measure(pairs)
+        """Rows whose identity is among distinct ``pairs``, which are evaluated twice."""
+        size, places = self._measure_keys(pairs)
         if size.rows <= LITERAL_KEYS:
             few = {(r[RECORD_KEY], r[PARTITION_PATH]) for r in pairs.collect()}
             return self._literal_lookup(timeline, few)
-        places = None
-        if self.spec.partition:
-            found = pairs.select(PARTITION_PATH).distinct().limit(LITERAL_PARTITIONS + 1).collect()
-            if len(found) <= LITERAL_PARTITIONS:
-                places = {r[PARTITION_PATH] for r in found}
         wanted = broadcast_within(pairs, size)
 
         def keep(rows: DataFrame) -> DataFrame:
@@ -263,6 +254,23 @@ class KeyedTable:
 
         return self._current(timeline, keep, places)
 
+    def _measure_keys(self, pairs: DataFrame) -> tuple[Size, set[str] | None]:
+        """Size of a key set and, if few, its partitions. Mostly in one job."""
+        if not self.spec.partition:
+            return measure(pairs), None
+        by_place = pairs.groupBy(PARTITION_PATH).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(value_bytes(pairs)).alias("bytes")
+        )
+        some = by_place.limit(LITERAL_PARTITIONS + 1).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("rows").alias("rows"),
+            F.sum("bytes").alias("bytes"),
+            F.collect_list(PARTITION_PATH).alias("places"),
+        ).first()
+        if some["n"] > LITERAL_PARTITIONS:
+            return measure(pairs), None
+        return Size(some["rows"] or 0, some["bytes"] or 0), set(some["places"])
+
     # ---- writes ---------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame, **kwargs) -> Commit:
