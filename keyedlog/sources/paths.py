@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from urllib.parse import unquote
 
@@ -30,12 +29,9 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name for tables a job writes on the way.
 
-    It lies in the shared folder of ``spark.checkpoint.dir``. Only a local session without that
-    setting falls back to the machine's own temporary folder.
+    It lies in the shared folder of ``spark.checkpoint.dir``, or else in the warehouse, which every
+    session has.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/keyedlog/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{tempfile.mkdtemp(prefix='keyedlog-')}/{name}"
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/keyedlog/{name}-{uuid.uuid4().hex}"
