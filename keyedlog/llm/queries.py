@@ -2,21 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import byte_bpe, language_id, quality
+from .fitting import labelled_sample, remainder
 from .near_dedup import near_duplicates
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _scored(scores: DataFrame, held_out: Column, least: float) -> DataFrame:
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return byte_bpe.round_trip(docs, VOCABULARY, public_tokenizers.PATTERN)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(remainder(3) != 1)
+    sample = labelled_sample(
+        docs, labels.select("doc_id", F.col("quality").alias("label")), quality.SAMPLE_DOCUMENTS)
+    return _scored(quality.score(docs, quality.fit(sample)), remainder(3) == 1, 0.5)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(remainder(5) != 0))
+    return language_id.predict(docs, model).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 LLM_QUERIES = {
+    "op4_byte_bpe": op4_byte_bpe,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_language_id": op10_language_id,
 }
 
 LLM_ORACLE: dict[str, str] = {}
