@@ -145,27 +145,30 @@ class Codec(dict):
         return b"".join(map(self.tokens.__getitem__, numbers))
 
 
-def _codec(shared, pattern: str) -> Codec:
-    """One codec for each process and vocabulary, kept for the tasks to come."""
-    kept = sys.__dict__.setdefault("_byte_bpe_codecs", {})
-    key = (shared.id, pattern)
-    if key not in kept:
-        kept.clear()
-        kept[key] = Codec(shared.value, pattern)
-    return kept[key]
+class SharedCodec:
+    """The ranks as a broadcast variable; one codec for each process, kept for the tasks to come."""
 
+    def __init__(self, df: DataFrame, path: str, pattern: str):
+        ranks = read_ranks(path)
+        self.ranks = df.sparkSession.sparkContext.broadcast(ranks)
+        self.key = hashlib.sha256(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
+        self.pattern = pattern
 
-def _share(df: DataFrame, path: str):
-    return df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    def codec(self) -> Codec:
+        kept = sys.__dict__.setdefault("_byte_bpe_codecs", {})
+        if self.key not in kept:
+            kept.clear()
+            kept[self.key] = Codec(self.ranks.value, self.pattern)
+        return kept[self.key]
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id",
            ) -> DataFrame:
     """(key, ids): ids of each whole text, packed as little-endian unsigned 32-bit integers."""
-    shared = _share(df, path)
+    shared = SharedCodec(df, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        codec = _codec(shared, pattern)
+        codec = shared.codec()
         for batch in batches:
             ids = [codec.encode(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -178,10 +181,10 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", key: str
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", key: str = "doc_id",
            ) -> DataFrame:
     """(key, decoded): the bytes behind packed ids."""
-    shared = _share(df, path)
+    shared = SharedCodec(df, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        codec = _codec(shared, pattern)
+        codec = shared.codec()
         for batch in batches:
             out = [codec.decode(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -193,11 +196,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", key: str =
 
 def round_trip(df: DataFrame, path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """Every row encoded and decoded again: doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids)."""
-    shared = _share(df, path)
+    shared = SharedCodec(df, path, pattern)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]):
-        codec = _codec(shared, pattern)
+        codec = shared.codec()
         for batch in batches:
             counts, before, after, kept = [], [], [], []
             for text in batch.column(1):

@@ -16,6 +16,21 @@ def remainder(divisor: int) -> Column:
     return F.coalesce(code, F.lit(0)).cast("int")
 
 
+def first_of_each(rows: DataFrame, label: str, number: int) -> DataFrame:
+    """``number`` rows (doc_id, label) of each label, by a hash of doc_id, with their ``place``.
+
+    Only the share of the hashes that holds about four times that number goes into the ranking, so
+    a label that most rows carry does not land in one task.
+    """
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    counts = rows.groupBy(label).agg(F.count("*").alias("all"))
+    few = rows.join(counts.hint("rebalance"), label).withColumn("spread", spread).where(
+        F.col("spread") * F.col("all") <= F.lit(float(1 << 30)) * 4 * number)
+    order = Window.partitionBy(label).orderBy("spread", "doc_id")
+    ranked = few.withColumn("place", F.row_number().over(order))
+    return ranked.where(F.col("place") <= number).select("doc_id", label, "place")
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, rows: int) -> pd.DataFrame:
     """(text, label) of at most ``rows`` documents of each label, by the order of a hash of doc_id.
 
@@ -24,11 +39,10 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, rows: int) -> pd.Da
     """
     one = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(
         F.max("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = one.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+    chosen = first_of_each(one, "label", rows)
     # At most ``rows`` ids for each label.
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text")).where(
         (F.octet_length("text") <= FIT_BYTES) & F.col("text").isNotNull())
-    found = texts.join(F.broadcast(chosen.select("doc_id", "label", "place")), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id")
     sample = found.groupBy("doc_id", "label", "place").agg(F.min("text").alias("text")).toPandas()
     return sample.sort_values(["label", "place"])[["text", "label"]].reset_index(drop=True)

@@ -21,10 +21,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import FIT_BYTES
+from .fitting import FIT_BYTES, first_of_each
 from .text import _BYTE_VALUES, mix, slices
 
 UNKNOWN = "und"
@@ -302,14 +302,11 @@ def _runs(batches):
 
 def training_runs(rows: DataFrame, documents_per_label: int = SAMPLE_DOCUMENTS) -> pd.DataFrame:
     """Runs from a bounded number of documents of each language, chosen by a hash of doc_id."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     usable = rows.where("lang is not null and doc_id is not null").where(
         F.octet_length(F.col("text").cast("string")) <= FIT_BYTES)
-    chosen = (
-        usable.select("doc_id", F.col("lang").cast("string")).distinct()
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= documents_per_label)
-    )
+    chosen = first_of_each(
+        usable.select("doc_id", F.col("lang").cast("string")).distinct(), "lang",
+        documents_per_label)
     texts = usable.select("doc_id", F.col("text").cast("string").alias("text"))
     found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "lang", "place").agg(
         F.min("text").alias("text"))

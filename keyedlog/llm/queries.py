@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, quality
+from . import byte_bpe, language_id, quality, toxicity
 from .fitting import labelled_sample, remainder
 from .near_dedup import near_duplicates
 
@@ -24,6 +24,14 @@ def _scored(scores: DataFrame, held_out: Column, least: float) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(remainder(4) != 2)
+    sample = labelled_sample(
+        docs, labels.select("doc_id", F.col("toxic").alias("label")), toxicity.SAMPLE_DOCUMENTS)
+    return _scored(toxicity.score(docs, toxicity.fit(sample)), remainder(4) == 2, 0.3)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, VOCABULARY, public_tokenizers.PATTERN)
@@ -49,6 +57,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,

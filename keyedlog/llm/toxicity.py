@@ -10,10 +10,10 @@ word, as in "i d i o t". Bytes above 127 count as one letter.
 Fit, on a bounded sample of labelled documents:
 
 1. Sentences carry their document's label, but a sentence that also stands in a clean document is
-   clean. Fragments of words from toxic sentences that no clean sentence has are chosen greedily,
-   each for the toxic documents it explains beyond those chosen before, so copies of a document and
-   words beside an insult earn nothing. Words with a chosen fragment are the positive instances;
-   words of clean sentences are the negative ones.
+   clean. Toxic documents that share sentences are one group, so copies count once. A fragment of
+   words is telling if no clean sentence has it and it is in more groups than chance explains. Words
+   of toxic sentences with a telling fragment are the positive instances; words of clean sentences
+   are the negative ones.
 2. Landmarks are the commonest positive words and some negative ones. The Nystrom map of the kernel
    to the landmarks makes vectors, on which a linear machine is trained with hinge loss.
 3. The score of a document is a logistic function, fitted on the sample, of the largest decision
@@ -29,6 +29,7 @@ are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -48,7 +49,8 @@ LANDMARKS = 96
 NEGATIVES = 6000
 POSITIVES = 4000
 FRAGMENTS = (4, 5, 6)
-LEAST_EXPLAINED = 3
+LEAST_GROUPS = 3
+NEARLY_ALL = 0.85
 REGULAR = 1e-4
 EPOCHS = 30
 NO_WORDS = -3.0
@@ -196,35 +198,64 @@ def _fragments(word: str) -> set[str]:
     return {marked[i:i + n] for n in FRAGMENTS for i in range(len(marked) - n + 1)} | {marked}
 
 
+def _groups(sentences: list[set[str]]) -> list[list[int]]:
+    """Documents that share a sentence, directly or through others."""
+    parent = list(range(len(sentences)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    holder: dict[str, int] = {}
+    for i, own in enumerate(sentences):
+        for sentence in own:
+            parent[root(i)] = root(holder.setdefault(sentence, i))
+    groups = defaultdict(list)
+    for i in range(len(sentences)):
+        groups[root(i)].append(i)
+    return list(groups.values())
+
+
+def _telling(counts: Counter, share: float) -> set[str]:
+    """Fragments that are in too many toxic groups, and in no clean text, for that to be chance.
+
+    Of fragments within each other, those are left out whose occurrences are nearly all of one
+    longer fragment.
+    """
+    least = max(LEAST_GROUPS, math.ceil(math.log(len(counts) + 1) / -math.log(share)))
+    found = {f: n for f, n in counts.items() if n >= least}
+    covered = set()
+    for fragment, n in found.items():
+        size = len(fragment)
+        inner = (fragment[i:j] for i in range(size) for j in range(i + 1, size + 1))
+        covered.update(f for f in inner if f != fragment and n >= NEARLY_ALL * found.get(f, n + n))
+    return found.keys() - covered
+
+
 def _instances(sample: pd.DataFrame) -> tuple[Counter, Counter]:
-    """Positive and negative words with their numbers of documents."""
+    """Positive and negative words, with their numbers of groups and of documents."""
     clean_sentences: set[str] = set()
     negative: Counter = Counter()
-    for text in sample["text"][sample["label"] == 0]:
+    clean_texts = list(dict.fromkeys(sample["text"][sample["label"] == 0]))
+    for text in clean_texts:
         sentences = set(_SENTENCE.split(text))
         clean_sentences |= sentences
         negative.update(set().union(*map(_words, sentences)))
+    clean_words = set(negative)
     clean = {f for w in negative for f in _fragments(w)}
-    holders: dict[str, set[int]] = defaultdict(set)
-    owners: dict[str, set[str]] = defaultdict(set)
-    for i, text in enumerate(dict.fromkeys(sample["text"][sample["label"] == 1])):
-        for sentence in set(_SENTENCE.split(text)) - clean_sentences:
-            for word in _words(sentence) - negative.keys():
-                for fragment in _fragments(word) - clean:
-                    holders[fragment].add(i)
-                    owners[fragment].add(word)
-    positive: Counter = Counter()
-    left = {f: h for f, h in holders.items() if len(h) >= LEAST_EXPLAINED}
-    explained: set[int] = set()
-    while left:
-        best = max(left, key=lambda f: (len(left[f]), len(f), f))
-        if len(left[best]) < LEAST_EXPLAINED:
-            break
-        explained |= left[best]
-        for word in owners[best]:
-            positive[word] += len(left[best])
-        left = {f: rest for f, h in left.items() if len(rest := h - explained) >= LEAST_EXPLAINED}
-    return positive, negative
+    toxic = [set(_SENTENCE.split(text)) - clean_sentences
+             for text in dict.fromkeys(sample["text"][sample["label"] == 1])]
+    counts: Counter = Counter()
+    words: Counter = Counter()
+    groups = _groups(toxic)
+    for group in groups:
+        own = set().union(*(_words(s) for i in group for s in toxic[i])) - clean_words
+        words.update(own)
+        counts.update(set().union(*map(_fragments, own)) - clean)
+    telling = _telling(counts, len(groups) / (len(groups) + len(clean_texts)))
+    return Counter({w: n for w, n in words.items() if _fragments(w) & telling}), negative
 
 
 def _machine(x: np.ndarray, y: np.ndarray, random) -> tuple[np.ndarray, float]:
@@ -243,7 +274,7 @@ def _machine(x: np.ndarray, y: np.ndarray, random) -> tuple[np.ndarray, float]:
             w = w - slope * 5 / (1 + step / 50)
             if epoch >= EPOCHS // 2:
                 mean += w
-    w = mean / max(1, sum(range(0, len(x), 64).__len__() for _ in range(EPOCHS - EPOCHS // 2)))
+    w = mean / max(1, (EPOCHS - EPOCHS // 2) * -(-len(x) // 64))
     return w[:-1], float(w[-1])
 
 
@@ -274,12 +305,22 @@ def fit(sample: pd.DataFrame, seed: int = 5) -> dict | None:
     marks = _features(landmarks)
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
     root = vectors / np.sqrt(np.maximum(values, 1e-4)) @ vectors.T
-    words = good + spoiled + bad
-    kernel = np.concatenate([_features(words[i:i + 500]) @ marks.T
-                             for i in range(0, len(words), 500)])
-    y = np.array([1.0] * (len(good) + len(spoiled)) + [-1.0] * len(bad))
-    w, bias = _machine(kernel.astype(float) @ root, y, random)
-    model = {"table": (root @ w) @ marks, "bias": bias, "slope": 1.0, "offset": 0.0}
+    mapped = root.T @ marks
+
+    def machine(bad: list[str]) -> dict:
+        words = good + spoiled + bad
+        x = np.concatenate([_features(words[i:i + 500]) @ mapped.T
+                            for i in range(0, len(words), 500)])
+        y = np.array([1.0] * (len(good) + len(spoiled)) + [-1.0] * len(bad))
+        w, bias = _machine(x.astype(float), y, random)
+        return {"table": w @ mapped, "bias": bias, "slope": 1.0, "offset": 0.0}
+
+    # A second machine also learns from the clean words that the first one finds hardest.
+    first = machine(bad)
+    values = np.concatenate([_largest(part, first)
+                             for part in slices(pa.array(usable, pa.string()))])
+    hardest = [usable[i] for i in np.argsort(-values, kind="stable")[:NEGATIVES // 2]]
+    model = machine(bad + hardest)
     texts = sample["text"].tolist()
     best = np.concatenate([_largest(part, model) for part in slices(pa.array(texts, pa.string()))])
     model["slope"], model["offset"] = _sigmoid_fit(best, (sample["label"] > 0).to_numpy(float))
