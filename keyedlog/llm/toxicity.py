@@ -224,8 +224,9 @@ def _telling(counts: Counter, share: float) -> set[str]:
     Of fragments within each other, those are left out whose occurrences are nearly all of one
     longer fragment.
     """
-    least = max(LEAST_GROUPS, math.ceil(math.log(len(counts) + 1) / -math.log(share)))
-    found = {f: n for f, n in counts.items() if n >= least}
+    repeated = {f: n for f, n in counts.items() if n >= LEAST_GROUPS}
+    least = math.log(len(repeated) + 1) / -math.log(share)
+    found = {f: n for f, n in repeated.items() if n >= least}
     covered = set()
     for fragment, n in found.items():
         size = len(fragment)
@@ -281,9 +282,8 @@ def _machine(x: np.ndarray, y: np.ndarray, random) -> tuple[np.ndarray, float]:
 def _sigmoid_fit(values: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the logistic calibration, by gradient steps on the log loss."""
     a, b = 1.0, 0.0
-    weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     for _ in range(3000):
-        slope = weight * (1 / (1 + np.exp(-(a * values + b))) - y)
+        slope = (1 / (1 + np.exp(-(a * values + b))) - y)
         a -= 0.5 * float((slope * values).mean())
         b -= 0.5 * float(slope.mean())
     return a, b
