@@ -106,14 +106,14 @@ NEIGHBOURS_SQL = """
 with usable as (
   select vec_id, min(cast(embedding as double[])) as v from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
   group by vec_id),
 sized as (
-  select *, sqrt(list_reduce(list_transform(v, x -> x * x), (a, b) -> a + b)) as size from usable),
+  select *, sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b)) as size from usable),
 scored as (
   select q.vec_id as query_id, c.vec_id, list_reduce(
-      list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]), (a, b) -> a + b)
+      list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b)
     / (q.size * c.size) as score
   from sized q join sized c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
 ranked as (
