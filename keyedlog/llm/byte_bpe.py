@@ -6,8 +6,8 @@ upper level names a group of ranks, the lowest set bit of the group the next ran
 positions leave from the left. An entry whose pair has changed meanwhile is stale and is skipped. A
 merge makes at most two new entries, so a pre-token of n bytes takes O(n log n) steps.
 
-Ranks come from a file of public ranks; they are read once by the driver, and their number is that
-of the file. Pre-tokens are remembered per process up to a number; what was forgotten is computed
+Ranks come from a file of public ranks, at most 2^16 of them; they are read once by the driver, and
+their number is that of the file. Pre-tokens are remembered per process up to a number; what was forgotten is computed
 again.
 
 Null and empty texts have no ids and decode to nothing. Rows are independent of each other: repeated
@@ -18,9 +18,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import sys
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 GROUP_BITS = 8
+LOW = (1 << GROUP_BITS) - 1
+BITS = [1 << k for k in range(1 << 16 - GROUP_BITS)]
 
 #: White space as Unicode's property has it; ``\s`` of the regex library also matches 0x1C-0x1F.
 SPACES = r"\t-\r " + "".join(
@@ -50,68 +52,61 @@ def portable(pattern: str) -> str:
             .replace(r"\s", f"[{SPACES}]"))
 
 
-class RankQueue:
-    """Positions by merge rank; the lowest rank leaves first, and of equal ranks the leftmost."""
-
-    def __init__(self):
-        self.groups = 0
-        self.members: dict[int, int] = {}
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        group = rank >> GROUP_BITS
-        self.groups |= 1 << group
-        self.members[group] = self.members.get(group, 0) | 1 << (rank & ((1 << GROUP_BITS) - 1))
-
-    def pop(self) -> tuple[int, int]:
-        group = (self.groups & -self.groups).bit_length() - 1
-        members = self.members[group]
-        low = (members & -members).bit_length() - 1
-        rank = group << GROUP_BITS | low
-        bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            members ^= 1 << low
-            self.members[group] = members
-            if not members:
-                self.groups ^= 1 << group
-        return rank, position
-
-    def __bool__(self) -> bool:
-        return self.groups != 0
-
-
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token."""
+    """Ids of one pre-token.
+
+    The queue lives in local variables, as most pre-tokens are short: ``groups`` is the upper level
+    of the bitmap, ``members`` the lower one, and ``buckets`` holds the positions of each rank.
+    """
     if piece in ranks:
         return [ranks[piece]]
-    n = len(piece)
+    n, find = len(piece), ranks.get
     end = list(range(1, n + 1))  # of the symbol that begins here; 0 once it is swallowed
     before = list(range(-1, n - 1))
-    queue, find = RankQueue(), ranks.get
+    groups, members, buckets = 0, {}, {}
     for i in range(n - 1):
-        if (rank := find(piece[i:i + 2])) is not None:
-            queue.push(rank, i)
-    while queue:
-        rank, i = queue.pop()
+        rank = find(piece[i:i + 2])
+        if rank is not None:
+            if rank in buckets:
+                buckets[rank].append(i)
+            else:
+                buckets[rank] = [i]
+                group = rank >> GROUP_BITS
+                groups |= BITS[group]
+                members[group] = members.get(group, 0) | BITS[rank & LOW]
+    while groups:
+        group = (groups & -groups).bit_length() - 1
+        held = members[group]
+        rank = group << GROUP_BITS | (held & -held).bit_length() - 1
+        bucket = buckets[rank]
+        i = heappop(bucket)
+        if not bucket:
+            del buckets[rank]
+            members[group] = held = held & (held - 1)
+            if not held:
+                groups &= groups - 1
         middle = end[i]
-        if not middle or middle >= n or find(piece[i:end[middle]]) != rank:
+        if not middle or middle >= n:
             continue
         stop = end[middle]
+        if find(piece[i:stop]) != rank:
+            continue
         end[i], end[middle] = stop, 0
         if stop < n:
             before[stop] = i
-            if (rank := find(piece[i:end[stop]])) is not None:
-                queue.push(rank, i)
-        if i:
-            left = before[i]
-            if (rank := find(piece[left:stop])) is not None:
-                queue.push(rank, left)
+            pairs = ((i, end[stop]), (before[i], stop)) if i else ((i, end[stop]),)
+        else:
+            pairs = ((before[i], stop),) if i else ()
+        for start, finish in pairs:
+            rank = find(piece[start:finish])
+            if rank is not None:
+                if rank in buckets:
+                    heappush(buckets[rank], start)
+                else:
+                    buckets[rank] = [start]
+                    group = rank >> GROUP_BITS
+                    groups |= BITS[group]
+                    members[group] = members.get(group, 0) | BITS[rank & LOW]
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i:end[i]]])

@@ -224,6 +224,8 @@ def _telling(counts: Counter, share: float) -> set[str]:
     Of fragments within each other, those are left out whose occurrences are nearly all of one
     longer fragment.
     """
+    if not 0 < share < 1:
+        return set()
     repeated = {f: n for f, n in counts.items() if n >= LEAST_GROUPS}
     least = math.log(len(repeated) + 1) / -math.log(share)
     found = {f: n for f, n in repeated.items() if n >= least}
