@@ -189,8 +189,7 @@ def test_fuzzy_lines_against_brute_force(spark):
             own[rng.randrange(60)] = "".join(rng.choices(letters, k=5))
         lines.append(" ".join(own))
     docs = documents(spark, lines)
-    prints = {r.doc_id: r["print"] for r in line_dedup._fingerprints(
-        line_dedup._occurrences(docs)).collect()}
+    prints = {r.doc_id: r["print"] for r in line_dedup._fingerprints(docs).collect()}
 
     def edits(a, b):
         row = list(range(len(b) + 1))
