@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from keyedlog import KeyedTable, TableSpec
 from keyedlog.queries import enrich, merges
-from keyedlog.queries.fixtures import FIRST_DAY, FIRST_HALF, ip_rules_from_file, table, trip_table, trips
+from keyedlog.queries.fixtures import AFTER_FIRST_DAY, AFTER_FIRST_HALF, FIRST_DAY, FIRST_HALF, ip_rules_from_file, table, trip_table, trips
 from keyedlog.session import scale_conf
 from keyedlog.sources.paths import scratch_path
 from keyedlog.sources.rules import with_address
@@ -58,7 +58,7 @@ def cases(spark):
     rows = trips(spark, SF_DIR)
     history = trip_table(spark)
     first = history.upsert(rows.where(FIRST_HALF)).instant
-    second = history.upsert(rows.where(f"not ({FIRST_HALF})")).instant
+    second = history.upsert(rows.where(AFTER_FIRST_HALF)).instant
     rules = ip_rules_from_file(spark, SF_DIR)
 
     items = table(spark, SF_DIR, "lineitem").withColumns({
@@ -81,7 +81,7 @@ def cases(spark):
         source, target = trip_table(spark), merges._target(spark, key, partition)
         source.upsert(rows.where(FIRST_DAY))
         build(spark, source, target).execute()
-        source.upsert(rows.where(f"not ({FIRST_DAY})"))
+        source.upsert(rows.where(AFTER_FIRST_DAY))
         return build(spark, source, target)
 
     def nothing():

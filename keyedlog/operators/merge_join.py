@@ -1,13 +1,15 @@
 """The rows a merge writes: updates from matched source rows, inserts from unmatched ones.
 
 The two inputs are the source rows and the candidate target rows, named by ``Aliases``; the
-join condition and the rules are SQL over these names. The condition should contain an equality
-between the sides, as any large Spark join should.
+join condition and the rules are SQL over these names. The condition must contain an equality
+between the sides; without one every pair of rows would be compared, so it is refused.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Mapping
+from contextlib import redirect_stdout
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -53,9 +55,26 @@ def update_projection(
     return out
 
 
+def check_equality(source: DataFrame, candidates: DataFrame, names: Aliases, on: str) -> None:
+    """Fail unless the condition has an equality that Spark can join by.
+
+    Spark is asked how it would join one empty row of either side.
+    """
+    def row(df: DataFrame) -> DataFrame:
+        fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
+        return df.sparkSession.createDataFrame([(None,) * len(fields)], T.StructType(fields))
+
+    joined = row(source).alias(names.source).join(row(candidates).alias(names.target), F.expr(on))
+    with redirect_stdout(io.StringIO()) as plan:
+        joined.explain()
+    if "NestedLoopJoin" in plan.getvalue() or "CartesianProduct" in plan.getvalue():
+        raise ValueError(f"the merge condition has no equality between the two sides: {on}")
+
+
 def _join(
     source: DataFrame, candidates: DataFrame, names: Aliases, on: str, how: str
 ) -> DataFrame:
+    check_equality(source, candidates, names, on)
     return source.alias(names.source).join(candidates.alias(names.target), F.expr(on), how)
 
 

@@ -11,6 +11,8 @@ from .sizing import broadcast_within, measure
 #: Width of a bin; all of IPv4 has 65,536 of them, so non-overlapping IPv4 rules give at most
 #: 65,536 rows more than there are rules.
 BIN_WIDTH = 1 << 16
+#: Bins of the widest rule: those of all IPv4 numbers.
+MOST_BINS = 1 << 16
 
 _BIN = "_bin"
 
@@ -21,9 +23,11 @@ def bin_of(value: Column, width: int) -> Column:
 
 
 def binned_rules(rules: DataFrame, start: str, end: str, width: int = BIN_WIDTH) -> DataFrame:
-    """One row per rule and bin it touches."""
+    """One row per rule and bin it touches; a rule of more than ``MOST_BINS`` bins is refused."""
     low, high = column(start), column(end)
     bins = F.sequence(bin_of(low, width), bin_of(high, width), F.lit(width).cast("bigint"))
+    wide = F.concat(F.lit("too many bins for the rule from "), low, F.lit(" to "), high)
+    bins = F.when((high - low) / width > MOST_BINS, F.raise_error(wide)).otherwise(bins)
     return rules.where(low <= high).withColumn(_BIN, F.explode(bins))
 
 

@@ -19,9 +19,11 @@ def with_group_totals(
     """``a.*, b.*`` where ``b`` is one row of totals for each value of ``on``.
 
     The right side is aggregated first (map-side partial sums), so the join adds columns and
-    never rows, and a value held by a third of the rows costs no more than any other.
+    never rows. The totals are dealt anew between their aggregate and the join; that lets adaptive
+    execution split the rows of a hot value where the totals are too large to broadcast.
     """
     right = prefixed(df.groupBy(on).agg(*[v.alias(n) for n, v in totals.items()]), prefix)
+    right = right.hint("rebalance")
     return df.join(right, df[on] == right[prefix + on], "left")
 
 

@@ -26,11 +26,12 @@ class Enrichment:
         The consumed instant is committed together with the data. Without new commits nothing
         is written and ``None`` returned.
         """
-        commits = self.source.timeline()
+        consumed = self.target.offsets(app)
+        begin = consumed.get(self.source.spec.name, BEGINNING)
+        commits = self.source.timeline(begin)
         if commits is None:
             raise ValueError(f"source table {self.source.spec.name} does not exist")
-        consumed = self.target.offsets(app)
-        begin, end = consumed.get(self.source.spec.name, BEGINNING), commits.last_change
+        end = commits.last_change
         if begin == end:
             return None
         new = drop_meta(self.source.changes(commits, begin, end))

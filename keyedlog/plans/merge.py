@@ -85,7 +85,7 @@ class Merge:
 
         The lookup key and partition must be named anew, as columns of the result; for a
         target without partitions give ``NO_PARTITION``. While the merge plans its work, the
-        alias is a temporary view of the session.
+        alias is a temporary view of the session; a view of that name is refused.
         """
         self.sql = sql
         return self.key_by(key, key_fn).partition_by(partition, partition_fn)
@@ -150,7 +150,9 @@ class Merge:
             raise ValueError("source alias and target alias must differ")
 
     def _aggregated(self, rows: DataFrame) -> DataFrame:
-        rows.createOrReplaceTempView(self.source_alias)
+        if self.source_alias in [t.name for t in self.spark.catalog.listTables() if t.isTemporary]:
+            raise ValueError(f"the source alias {self.source_alias} is a temporary view already")
+        rows.createTempView(self.source_alias)
         try:
             return self.spark.sql(self.sql)
         finally:
@@ -176,7 +178,7 @@ class Merge:
         timeline = self.target.timeline()
         consumed = {} if timeline is None else timeline.offsets.get(app, {})
         begin = consumed.get(self.source.spec.name, BEGINNING)
-        commits = self.source.timeline()
+        commits = self.source.timeline(begin)
         if commits is None:
             raise ValueError(f"source table {self.source.spec.name} does not exist")
         end = commits.last_change

@@ -3,12 +3,12 @@
 Layout::
 
     <path>/data/_batch=<instant>/[_partition_path=<p>/]part-*.parquet
-    <path>/_commits/<instant>/part-*.json
+    <path>/_commits/<number>/part-*.json
 
 Every write adds one batch that holds at most one row per identity, then one commit record.
 Readers take the batches named by the commit log, so a half-written batch is never seen and a
 job may read the table it writes to. One writer at a time: the second of two writers that
-pick the same instant fails on the existing path.
+started from the same commit fails on the existing record.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from ..operators.rows import (
 )
 from ..operators.sizing import Size, broadcast_within, measure, value_bytes
 from ..sources.commits import (
-    Commit, CommitRecord, Timeline, next_instant, read_commits, read_timeline,
+    BASE_KINDS, Commit, CommitRecord, Timeline, next_instant, read_commits, read_timeline,
 )
 from ..sources.paths import partition_values
 from ..spec import (
@@ -34,14 +34,11 @@ from ..spec import (
     RECORD_KEY, TableSpec,
 )
 
-#: Key sets up to this size become literals that reach the Parquet scan.
+#: Key sets up to this size become literals that reach the Parquet scan, unless told otherwise.
 LITERAL_KEYS = 1000
-#: More distinct partition values than this are not listed in a filter.
+#: More distinct partition values than this prune by a join instead of a list in a filter.
 LITERAL_PARTITIONS = 1000
 
-#: Commits writing more partitions than this do not record which.
-RECORDED_PARTITIONS = 100
-
 #: Bloom filters let a point lookup skip row groups of randomly distributed keys.
 WRITE_OPTIONS = {
     f"parquet.bloom.filter.enabled#{RECORD_KEY}": "true",
@@ -64,17 +61,20 @@ class KeyedTable:
 
     # ---- metadata -------------------------------------------------------------------
 
-    def timeline(self) -> Timeline | None:
-        """All commits, or ``None`` if the table does not exist."""
-        timeline = read_timeline(self.spark, self.spec.commits_path)
+    def timeline(self, begin: str | None = None) -> Timeline | None:
+        """The commits since the last full batch, or ``None`` if the table does not exist.
+
+        With ``begin``, all commits after that instant are among them. ``commits`` has all.
+        """
+        timeline = read_timeline(self.spark, self.spec.commits_path, begin)
         for field in ("key", "partition") if timeline else ():
             stored, given = timeline.spec.get(field), getattr(self.spec, field)
             if stored != given:
                 raise ValueError(f"the {field} of {self.spec.path} is {stored}, not {given}")
         return timeline
 
-    def _existing(self) -> Timeline:
-        timeline = self.timeline()
+    def _existing(self, begin: str | None = None) -> Timeline:
+        timeline = self.timeline(begin)
         if timeline is None:
             raise ValueError(f"table {self.spec.name} does not exist at {self.spec.path}")
         return timeline
@@ -160,17 +160,29 @@ class KeyedTable:
         if touched is None:
             return reconcile(rows, newest, changed)
         # Partitions without changes are read as they are, without a shuffle.
-        inside = F.col(PARTITION_PATH).isin(touched)
-        return live(rows.where(~inside)).unionByName(
-            reconcile(rows.where(inside), newest, changed)
-        )
+        inside = self._in_places(rows, touched)
+        outside = self._in_places(rows, touched, how="left_anti")
+        return live(outside).unionByName(reconcile(inside, newest, changed))
+
+    def _in_places(
+        self, rows: DataFrame, places: Sequence[str], how: str = "left_semi"
+    ) -> DataFrame:
+        """Rows whose partition is among ``places``, or is not, for ``left_anti``.
+
+        Both a filter and a semi join with a broadcast list leave out the other folders.
+        """
+        if len(places) <= LITERAL_PARTITIONS:
+            inside = F.col(PARTITION_PATH).isin(list(places))
+            return rows.where(inside if how == "left_semi" else ~inside)
+        listed = self.spark.createDataFrame([(p,) for p in places], f"{PARTITION_PATH} string")
+        joined = rows.join(F.broadcast(listed), PARTITION_PATH, how)
+        return joined.select(rows.columns)
 
     def _touched(self, commits: Sequence[Commit]) -> list[str] | None:
-        """Partitions the commits wrote to, if few and known."""
-        if not self.spec.partition or any(c.partitions is None for c in commits):
+        """Partitions the commits wrote to; ``None`` in a table without partitions."""
+        if not self.spec.partition:
             return None
-        touched = {p for c in commits for p in c.partitions}
-        return sorted(touched) if len(touched) <= LITERAL_PARTITIONS else None
+        return sorted({p for c in commits for p in c.partitions or ()})
 
     def snapshot(self) -> DataFrame:
         """The latest version of every live row: user columns and bookkeeping columns."""
@@ -182,10 +194,10 @@ class KeyedTable:
         Rows deleted in the range do not appear. ``begin == end`` gives an empty DataFrame.
         Only the batches of the range are listed and read.
         """
-        return self.changes(self._existing(), begin, end)
+        return self.changes(self._existing(begin), begin, end)
 
     def changes(self, timeline: Timeline, begin: str, end: str) -> DataFrame:
-        """``incremental`` for a timeline already read."""
+        """``incremental`` for a timeline already read, back to ``begin``."""
         chosen = timeline.between(begin, end)
         rows = self._read(chosen, timeline.schema)
         return live(latest(rows) if len(chosen) > 1 else rows)
@@ -194,6 +206,7 @@ class KeyedTable:
         self,
         keys: DataFrame | Iterable[tuple[str, str | None]],
         schema: T.StructType | None = None,
+        literal_keys: int | None = None,
     ) -> DataFrame:
         """Rows whose (record key, partition path) is among ``keys``; a missing key gives none.
 
@@ -201,21 +214,23 @@ class KeyedTable:
         partition (a table without partitions needs the key only). Without a table the result
         is empty, with the columns of ``schema``.
 
-        Up to ``LITERAL_KEYS`` keys become filters inside the scan, where partition
-        directories, row groups and pages are skipped. More keys are broadcast if their measured
-        size allows it, and joined by a shuffle otherwise.
+        Up to ``literal_keys`` keys (``LITERAL_KEYS``) become filters inside the scan, where
+        partition directories, row groups and pages are skipped. More keys are broadcast if their
+        measured size allows it, and joined by a shuffle otherwise. The rows are the same.
         """
+        most = LITERAL_KEYS if literal_keys is None else literal_keys
         timeline = self.timeline()
         if timeline is None:
             return self._read([], schema or T.StructType()).drop(OP)
         if not isinstance(keys, DataFrame):
             pairs = {self._pair(key) for key in keys}
             pairs = {(key, place) for key, place in pairs if key}
-            if len(pairs) <= LITERAL_KEYS:
+            if len(pairs) <= most:
                 return self._literal_lookup(timeline, pairs)
             keys = self.spark.createDataFrame(sorted(pairs), KEYS_SCHEMA)
         partition = column(keys.columns[1]) if self.spec.partition else None
-        return self.candidates(timeline, distinct_keys(keys, column(keys.columns[0]), partition))
+        pairs = distinct_keys(keys, column(keys.columns[0]), partition)
+        return self.candidates(timeline, pairs, most)
 
     def _pair(self, key: str | tuple[str, str | None]) -> tuple[str, str]:
         key, *place = key if isinstance(key, (tuple, list)) else (key,)
@@ -239,10 +254,12 @@ class KeyedTable:
 
         return self._current(timeline, keep, places if self.spec.partition else None)
 
-    def candidates(self, timeline: Timeline, pairs: DataFrame) -> DataFrame:
+    def candidates(
+        self, timeline: Timeline, pairs: DataFrame, literal_keys: int | None = None
+    ) -> DataFrame:
         """Rows whose identity is among distinct ``pairs``, which are evaluated twice."""
-        size, places = self._measure_keys(pairs)
-        if size.rows <= LITERAL_KEYS:
+        size, places, listed = self._measure_keys(pairs)
+        if size.rows <= (LITERAL_KEYS if literal_keys is None else literal_keys):
             few = {(r[RECORD_KEY], r[PARTITION_PATH]) for r in pairs.collect()}
             return self._literal_lookup(timeline, few)
         wanted = broadcast_within(pairs, size)
@@ -250,14 +267,20 @@ class KeyedTable:
         def keep(rows: DataFrame) -> DataFrame:
             if places is not None:
                 rows = rows.where(F.col(PARTITION_PATH).isin(sorted(places)))
+            elif listed is not None:
+                # A broadcast list of partitions prunes folders while the query runs.
+                rows = rows.join(listed, PARTITION_PATH, "left_semi").select(rows.columns)
             return semi_join(rows, wanted)
 
         return self._current(timeline, keep, places)
 
-    def _measure_keys(self, pairs: DataFrame) -> tuple[Size, set[str] | None]:
-        """Size of a key set and, if few, its partitions. Mostly in one job."""
+    def _measure_keys(self, pairs: DataFrame) -> tuple[Size, set[str] | None, DataFrame | None]:
+        """Size of a key set and its partitions: a set if few, else a table if it can be broadcast.
+
+        Mostly in one job.
+        """
         if not self.spec.partition:
-            return measure(pairs), None
+            return measure(pairs), None, None
         by_place = pairs.groupBy(PARTITION_PATH).agg(
             F.count(F.lit(1)).alias("rows"), F.sum(value_bytes(pairs)).alias("bytes")
         )
@@ -267,9 +290,11 @@ class KeyedTable:
             F.sum("bytes").alias("bytes"),
             F.collect_list(PARTITION_PATH).alias("places"),
         ).first()
-        if some["n"] > LITERAL_PARTITIONS:
-            return measure(pairs), None
-        return Size(some["rows"] or 0, some["bytes"] or 0), set(some["places"])
+        if some["n"] <= LITERAL_PARTITIONS:
+            return Size(some["rows"] or 0, some["bytes"] or 0), set(some["places"]), None
+        names = measure(by_place.select(PARTITION_PATH))
+        listed = by_place.select(PARTITION_PATH)
+        return measure(pairs), None, F.broadcast(listed) if names.broadcastable else None
 
     # ---- writes ---------------------------------------------------------------------
 
@@ -362,7 +387,8 @@ class KeyedTable:
         written = None
         if self.spec.partition:
             written = partition_values(self.spark, self.spec.batch_path(instant), PARTITION_PATH)
-            written = written if len(written) <= RECORDED_PARTITIONS else None
+        number = timeline.number + 1 if timeline else 0
+        starts_anew = kind in BASE_KINDS or timeline is None
 
         found = observed.get
         size = Size(found["rows"], found["key_bytes"] or 0)
@@ -370,6 +396,8 @@ class KeyedTable:
             instant=instant, kind=kind, spec=self.spec.describe(), schema=schema,
             meta=dict(meta or {}), offsets=carried, rows=size.rows, key_bytes=size.bytes,
             inserted=found.get("inserted"), updated=found.get("updated"), partitions=written,
+            number=number, base=number if starts_anew else timeline.base,
+            changed=timeline.last_change if kind == "compact" else instant,
         ).write(self.spark, self.spec.commits_path)
         return Commit(
             instant, kind, size, found.get("inserted"), found.get("updated"), written

@@ -14,7 +14,7 @@ from ..plans.enrich import Enrichment
 from ..sources.paths import scratch_path
 from ..sources.rules import with_address, with_place
 from .fixtures import (
-    FIRST_DAY, SQL_RULES, SQL_TRIPS, as_double, ip_rules, ip_rules_from_file, table, trip_table,
+    AFTER_FIRST_DAY, FIRST_DAY, SQL_RULES, SQL_TRIPS, as_double, ip_rules, ip_rules_from_file, table, trip_table,
     trips,
 )
 
@@ -48,7 +48,7 @@ def ip_enrich_incremental(spark, sf_dir):
     )
     rules = ip_rules_from_file(spark, sf_dir)
     rows = trips(spark, sf_dir)
-    for batch in (rows.where(FIRST_DAY), rows.where(f"not ({FIRST_DAY})")):
+    for batch in (rows.where(FIRST_DAY), rows.where(AFTER_FIRST_DAY)):
         source.upsert(batch)
         Enrichment(source, target).execute(lambda new: with_address(new, rules, "rider"))
     return as_double(drop_meta(target.snapshot()), "fare")
@@ -107,7 +107,7 @@ def _offset_maps(spark, sf_dir):
     """Per driver, the last trip of each kind before and since the second day, as two maps."""
     last = trips(spark, sf_dir).groupBy("driver", "partitionpath").agg(
         F.expr(f"max(cast(uuid as bigint)) filter (where {FIRST_DAY})").alias("old"),
-        F.expr(f"max(cast(uuid as bigint)) filter (where not ({FIRST_DAY}))").alias("new"),
+        F.expr(f"max(cast(uuid as bigint)) filter (where {AFTER_FIRST_DAY})").alias("new"),
     )
 
     def collected(name):

@@ -1,7 +1,7 @@
 """Inputs of the registered queries, as DataFrames and as DuckDB common table expressions.
 
 Every input takes whole tables. Where a query needs two commits, the table is cut by time: the
-first day or the first half of the month, and all the rest.
+first day or the first half of the month, and all the rest, rows without a time included.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from ..sources.rules import RULE_SEPARATOR, read_ip_rules
 
 FIRST_DAY = "ts < timestamp_ntz '2024-01-02 00:00:00'"
 FIRST_HALF = "ts < timestamp_ntz '2024-01-16 00:00:00'"
+AFTER_FIRST_DAY = f"not coalesce({FIRST_DAY}, false)"
+AFTER_FIRST_HALF = f"not coalesce({FIRST_HALF}, false)"
 
 TRIP_COLUMNS = ["uuid", "ts", "driver", "rider", "fare", "partitionpath"]
 
@@ -28,8 +30,8 @@ trips as (
     (num >> 24) || '.' || ((num >> 16) & 255) || '.' || ((num >> 8) & 255) || '.' || (num & 255)
       as rider,
     cast(value as decimal(12,2)) as fare, event_type as partitionpath, num,
-    ts < timestamp '2024-01-02 00:00:00' as first_day,
-    ts < timestamp '2024-01-16 00:00:00' as first_half
+    coalesce(ts < timestamp '2024-01-02 00:00:00', false) as first_day,
+    coalesce(ts < timestamp '2024-01-16 00:00:00', false) as first_half
   from numbered)"""
 
 # One block of addresses per customer, of which the last quarter belongs to nobody.

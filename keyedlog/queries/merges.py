@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import NO_PARTITION, KeyedTable, Merge, TableSpec
 from ..operators.rows import drop_meta
 from ..sources.paths import scratch_path
-from .fixtures import FIRST_DAY, SQL_TRIPS, as_double, corrected, table, trip_table, trips
+from .fixtures import AFTER_FIRST_DAY, FIRST_DAY, SQL_TRIPS, as_double, corrected, table, trip_table, trips
 from .tables import _numbered
 
 
@@ -17,7 +17,7 @@ def _target(spark, key, partition=None, name="target"):
 
 def _days(spark, sf_dir):
     rows = trips(spark, sf_dir)
-    return rows.where(FIRST_DAY), rows.where(f"not ({FIRST_DAY})")
+    return rows.where(FIRST_DAY), rows.where(AFTER_FIRST_DAY)
 
 
 def _fares(spark, source, target):

@@ -10,7 +10,7 @@ from ..operators.rows import dedupe, distinct_keys, drop_meta, with_identity
 from ..sources.json_lines import json_records
 from ..sources.paths import scratch_path
 from .fixtures import (
-    FIRST_DAY, FIRST_HALF, SQL_TRIPS, TRIP_COLUMNS, as_double, corrected, table, trip_table, trips,
+    AFTER_FIRST_DAY, AFTER_FIRST_HALF, FIRST_DAY, FIRST_HALF, SQL_TRIPS, TRIP_COLUMNS, as_double, corrected, table, trip_table, trips,
 )
 
 _TRIPS = ", ".join(c if c != "fare" else "cast(fare as double) as fare" for c in TRIP_COLUMNS)
@@ -21,7 +21,7 @@ def _history(spark, sf_dir, partition="partitionpath"):
     rows = trips(spark, sf_dir)
     kept = trip_table(spark, partition)
     kept.upsert(rows.where(FIRST_HALF))
-    kept.upsert(rows.where(f"not ({FIRST_HALF})"))
+    kept.upsert(rows.where(AFTER_FIRST_HALF))
     return kept
 
 
@@ -34,7 +34,7 @@ def snapshot_read(spark, sf_dir):
     first = rows.where(FIRST_HALF)
     kept = trip_table(spark)
     kept.upsert(first)
-    kept.upsert(corrected(first).unionByName(rows.where(f"not ({FIRST_HALF})")))
+    kept.upsert(corrected(first).unionByName(rows.where(AFTER_FIRST_HALF)))
     return _result(kept.snapshot())
 
 
@@ -42,7 +42,7 @@ def write_overwrite(spark, sf_dir):
     rows = trips(spark, sf_dir)
     kept = trip_table(spark)
     kept.upsert(rows.where(FIRST_HALF))
-    kept.overwrite(rows.where(f"not ({FIRST_HALF})"))
+    kept.overwrite(rows.where(AFTER_FIRST_HALF))
     return _result(kept.snapshot())
 
 
@@ -72,7 +72,7 @@ def _driver_table(spark, sf_dir, partition):
     kept = KeyedTable(spark, spec)
     rows = trips(spark, sf_dir)
     kept.upsert(rows.where(FIRST_DAY))
-    kept.upsert(rows.where(f"not ({FIRST_DAY})"))
+    kept.upsert(rows.where(AFTER_FIRST_DAY))
     return kept
 
 
@@ -194,7 +194,7 @@ def commit_metadata(spark, sf_dir):
     kept = trip_table(spark)
     rows = trips(spark, sf_dir)
     kept.overwrite(rows.where(FIRST_HALF), meta={"_test": "test"})
-    kept.upsert(rows.where(f"not ({FIRST_HALF})"), meta={"_test": "again", "_note": "second half"})
+    kept.upsert(rows.where(AFTER_FIRST_HALF), meta={"_test": "again", "_note": "second half"})
     return _numbered(kept.commits()).select(
         "seq", "rows", F.col("meta")["_test"].alias("test"), F.col("meta")["_note"].alias("note"),
         F.from_json("schema", "fields array<struct<name string>>")["fields"]["name"][0].alias("first_column"),

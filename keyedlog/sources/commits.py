@@ -1,8 +1,10 @@
 """The commit log of a keyed table: one small JSON record per completed write.
 
 A record is written after its data, so a batch without a record is invisible and a failed
-write leaves nothing to undo. Offsets are carried forward from record to record, so the last
-record always holds all of them.
+write leaves nothing to undo. Records are numbered, and a writer takes the number after the last
+record it has read: of two writers that started from the same state the second fails. Offsets, the
+number of the last full batch and the instant of the last change are carried forward from record to
+record, so readers need the last record and those back to that batch only, however long the log.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..operators.sizing import Size
 from ..spec import BEGINNING
-from .paths import path_exists
+from .paths import child_names, path_exists
 
 _TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
@@ -34,6 +36,9 @@ COMMIT_SCHEMA = (
     .add("inserted", T.LongType())
     .add("updated", T.LongType())
     .add("partitions", T.ArrayType(T.StringType()))
+    .add("number", T.LongType())
+    .add("base", T.LongType())
+    .add("changed", T.StringType())
 )
 
 #: Kinds after which older batches are no longer part of the table's current rows.
@@ -47,28 +52,28 @@ class Commit:
     size: Size
     inserted: int | None = None
     updated: int | None = None
-    #: Partition paths written, or ``None`` if they are too many to record.
+    #: Partition paths written, or ``None`` in a table without partitions.
     partitions: list[str] | None = None
 
 
 @dataclass(frozen=True)
 class Timeline:
-    """All commits in order, and what the last one says about the table."""
+    """Commits in order, back to the last full batch or further, and what the last one says."""
 
     commits: list[Commit]
     spec: dict[str, str | None]
     schema: T.StructType
     offsets: dict[str, dict[str, str]]
+    #: Number of the last record, and of that of the last full batch.
+    number: int
+    base: int
+    #: Instant of the last commit that changed rows; compactions do not.
+    last_change: str
 
     @property
     def last_instant(self) -> str:
         return self.commits[-1].instant if self.commits else BEGINNING
 
-    @property
-    def last_change(self) -> str:
-        """Instant of the last commit that changed rows; compactions do not."""
-        return max((c.instant for c in self.commits if c.kind != "compact"), default=BEGINNING)
-
     def current(self) -> list[Commit]:
         """The batches holding the current rows: the last full one and all after it."""
         starts = [i for i, c in enumerate(self.commits) if c.kind in BASE_KINDS]
@@ -77,7 +82,8 @@ class Timeline:
     def between(self, begin: str, end: str) -> list[Commit]:
         """Batches with begin < instant <= end that the state at ``end`` still contains.
 
-        Compactions are skipped: they repeat rows of other batches.
+        Compactions are skipped: they repeat rows of other batches. The timeline must have been
+        read back to ``begin``.
         """
         upto = [c for c in self.commits if c.instant <= end and c.kind != "compact"]
         starts = [i for i, c in enumerate(upto) if c.kind == "overwrite"]
@@ -98,13 +104,20 @@ class CommitRecord:
     inserted: int | None = None
     updated: int | None = None
     partitions: list[str] | None = None
+    number: int = 0
+    base: int = 0
+    changed: str = BEGINNING
 
     def write(self, spark: SparkSession, commits_path: str) -> None:
         record = {name: getattr(self, name) for name in COMMIT_SCHEMA.names}
         record["schema"] = self.schema.json()
         record["spec"] = {k: v for k, v in self.spec.items() if v is not None}
         line = spark.range(1, numPartitions=1).select(F.lit(json.dumps(record)).alias("value"))
-        line.write.mode("errorifexists").text(f"{commits_path}/{self.instant}")
+        line.write.mode("errorifexists").text(record_path(commits_path, self.number))
+
+
+def record_path(commits_path: str, number: int) -> str:
+    return f"{commits_path}/{number:012d}"
 
 
 def read_commits(spark: SparkSession, commits_path: str) -> DataFrame | None:
@@ -115,33 +128,54 @@ def read_commits(spark: SparkSession, commits_path: str) -> DataFrame | None:
     return reader.json(commits_path)
 
 
-def read_timeline(spark: SparkSession, commits_path: str) -> Timeline | None:
-    """The timeline of a table in one small job, or ``None`` where there is no table.
+def _records(spark: SparkSession, commits_path: str, numbers: list[int], *columns: str) -> list:
+    if not numbers:
+        return []
+    paths = [record_path(commits_path, n) for n in numbers]
+    log = spark.read.schema(COMMIT_SCHEMA).json(paths)
+    return sorted(log.select("number", *columns).collect(), key=lambda r: r["number"])
 
-    Only commit metadata reaches the driver: a few numbers per commit and the last record.
+
+def read_timeline(
+    spark: SparkSession, commits_path: str, begin: str | None = None
+) -> Timeline | None:
+    """The timeline of a table, or ``None`` where there is no table.
+
+    Reads the last record and those back to the last full batch, and with ``begin`` back to that
+    instant. Only the names of older records reach the driver. A folder without a record is left
+    by a writer that died; its number is not used again.
     """
-    log = read_commits(spark, commits_path)
-    if log is None:
-        return None
-    brief = F.struct("instant", "kind", "rows", "key_bytes", "partitions")
-    head = log.agg(
-        F.array_sort(F.collect_list(brief)).alias("commits"),
-        F.max_by(F.struct("spec", "schema", "offsets"), "instant").alias("last"),
-    ).first()
-    if not head["commits"]:
+    numbers = [int(n) for n in child_names(spark, commits_path) if n.isdigit()]
+    found = []
+    for at in range(len(numbers) - 1, -1, -1):
+        found = _records(spark, commits_path, [numbers[at]], *COMMIT_SCHEMA.names[:-3], "base", "changed")
+        if found:
+            break
+    if not found:
         return None
-    last = head["last"]
+    last = found[0]
+    brief = ("instant", "kind", "rows", "key_bytes", "partitions")
+    low = next(i for i, n in enumerate(numbers) if n >= last["base"])
+    commits = _records(spark, commits_path, numbers[low:at], *brief) + [last]
+    step = len(commits)
+    while begin is not None and low > 0 and commits[0]["instant"] > begin:
+        older = max(0, low - step)
+        commits = _records(spark, commits_path, numbers[older:low], *brief) + commits
+        low, step = older, 2 * step
     return Timeline(
         commits=[
             Commit(
                 c["instant"], c["kind"], Size(c["rows"], c["key_bytes"]),
                 partitions=c["partitions"],
             )
-            for c in head["commits"]
+            for c in commits
         ],
         spec=dict(last["spec"]),
         schema=T.StructType.fromJson(json.loads(last["schema"])),
         offsets={app: dict(m) for app, m in (last["offsets"] or {}).items()},
+        number=numbers[-1],
+        base=last["base"],
+        last_change=last["changed"],
     )
 
 

@@ -18,8 +18,8 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | None = None) -
 
 def json_records(df: DataFrame, text: str, schema: str | None = None) -> DataFrame:
     """The objects in a text column as rows. Without a schema it is inferred from all rows."""
-    ddl = schema or infer_json_schema(df, text)
-    return df.select(F.from_json(text, ddl).alias("_json")).select("_json.*")
+    found = schema or infer_json_schema(df, text)
+    return df.select(F.from_json(text, found).alias("_json")).select("_json.*")
 
 
 def json_strings(spark: SparkSession, lines: Sequence[str], schema: str | None = None) -> DataFrame:

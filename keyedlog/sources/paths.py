@@ -18,6 +18,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in order; none if there is no such folder."""
+    system, place = _place(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place))
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the partition directories ``column=value`` in a folder just written."""
     system, place = _place(spark, path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ip import UNKNOWN, ip_to_long
-from ..operators.range_join import range_join
+from ..operators.range_join import check_rules, range_join
 from ..operators.rows import column
 
 # Fixed format of a rule line.
@@ -17,14 +17,20 @@ RULE_SEPARATOR = "|"
 
 
 def read_ip_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Rules from text files; a line that does not parse fails the job."""
-    return (
-        spark.read.schema(RULE_SCHEMA)
-        .option("sep", RULE_SEPARATOR)
-        .option("quote", "")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    """Rules from text files: the first five fields of a line, of which empty ones stay empty.
+
+    Blank lines are skipped; a line without five fields, or whose numbers do not parse, fails the
+    job.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    columns = [field.split() for field in RULE_SCHEMA.split(", ")]
+    fields = F.split("value", f"\\Q{RULE_SEPARATOR}\\E", len(columns) + 1)
+    whole = F.when(F.size(fields) >= len(columns), fields).otherwise(
+        F.raise_error(F.concat(F.lit("not a rule: "), F.col("value"))))
+    found = lines.select(whole.alias("fields"))
+    return found.select(*[
+        F.col("fields")[i].cast(kind).alias(name) for i, (name, kind) in enumerate(columns)
+    ])
 
 
 def with_place(
@@ -33,7 +39,9 @@ def with_place(
     """Add columns of the rule that holds the address in ``ip``, or ``UNKNOWN``.
 
     ``columns`` maps new columns to rule columns; unset, country, province and city are added.
+    Overlapping rules are an error, so every row of ``df`` comes out once.
     """
+    check_rules(rules, "start_num", "end_num")
     columns = columns or {name: name for name in ("country", "province", "city")}
     chosen = rules.select(
         "start_num", "end_num", *[F.col(c).alias(f"_place_{n}") for n, c in columns.items()]
