@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import KeyedTable, TableSpec
+from ..checks import schema_differences
 from ..operators.rows import dedupe, distinct_keys, drop_meta, with_identity
 from ..sources.json_lines import json_records
-from ..sources.paths import scratch_path
+from ..sources.paths import path_exists, scratch_path
 from .fixtures import (
     AFTER_FIRST_DAY, AFTER_FIRST_HALF, FIRST_DAY, FIRST_HALF, SQL_TRIPS, TRIP_COLUMNS, as_double, corrected, table, trip_table, trips,
 )
@@ -201,7 +202,68 @@ def commit_metadata(spark, sf_dir):
     )
 
 
+def open_table(spark, sf_dir):
+    """A table known by its path alone."""
+    kept = _order_table(spark, sf_dir)
+    return drop_meta(KeyedTable.open(spark, kept.spec.path).snapshot())
+
+
+def scheme_path(spark, sf_dir):
+    """The same table by a path that names its file system, and one that is not there."""
+    path = _order_table(spark, sf_dir).spec.path
+    full = path if ":" in path else f"file://{path}"
+    rows = KeyedTable.open(spark, full).snapshot().agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumns({
+        "there": F.lit(path_exists(spark, full)), "elsewhere": F.lit(path_exists(spark, full + "-x")),
+    })
+
+
+def table_schema(spark, sf_dir):
+    """Columns and types of a table that got a column with its second commit."""
+    kept = _order_table(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
+    kept.upsert(orders.where("o_orderstatus = 'O'").withColumn("o_checked", F.lit(True)))
+    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(kept.schema().fields)]
+    return spark.createDataFrame(fields, "place int, name string, type string")
+
+
+def schema_differences_query(spark, sf_dir):
+    """How an input with a new, a missing and a changed column differs from the table."""
+    kept = _order_table(spark, sf_dir)
+    other = table(spark, sf_dir, "orders").drop("o_orderpriority").withColumns(
+        {"o_custkey": F.col("o_custkey").cast("string"), "o_checked": F.lit(True)})
+    found = schema_differences(other.schema, kept.schema())
+    return spark.createDataFrame([(line,) for line in found], "difference string")
+
+
+def _files_of(spark, sf_dir, **kwargs):
+    """Rows of each file that a write of all orders made."""
+    spec = TableSpec("orders", scratch_path(spark, "orders"), "o_orderkey", "o_orderdate")
+    kept = KeyedTable(spark, spec)
+    instant = kept.upsert(table(spark, sf_dir, "orders"), **kwargs).instant
+    rows = spark.read.parquet(spec.batch_path(instant))
+    return rows.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def file_sizes(spark, sf_dir):
+    """No file holds more rows than the writer was told."""
+    files = _files_of(spark, sf_dir, options={"maxRecordsPerFile": "500"})
+    return files.agg((F.max("n") <= 500).alias("within"), F.sum("n").alias("n"))
+
+
+def write_parallelism(spark, sf_dir):
+    """As many files as write tasks were asked for."""
+    files = _files_of(spark, sf_dir, parallelism=3)
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("n"))
+
+
 QUERIES = {
+    "open_table": open_table,
+    "scheme_path": scheme_path,
+    "table_schema": table_schema,
+    "schema_differences": schema_differences_query,
+    "file_sizes": file_sizes,
+    "write_parallelism": write_parallelism,
     "snapshot_read": snapshot_read,
     "write_overwrite": write_overwrite,
     "write_upsert": write_upsert,
@@ -231,9 +293,27 @@ select {_TRIPS} from (
 where rn = 1"""
 
 
+# Columns of the orders table in order, as the schema query shows them.
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                  "o_orderpriority"]
+_COLUMN_TYPES = " union all ".join(
+    f"select distinct {i} as place, '{name}' as name, "
+    f"case lower(typeof({name})) when 'varchar' then 'string' when 'integer' then 'int' "
+    f"when 'timestamp' then 'timestamp_ntz' else lower(typeof({name})) end as type from orders"
+    for i, name in enumerate(_ORDER_COLUMNS))
+
 _LISTED = ", ".join(f"('{key}', '{status}')" for key, status in LISTED_KEYS)
 
 ORACLE = {
+    "open_table": "select * from orders",
+    "scheme_path": "select count(*) as n, true as there, false as elsewhere from orders",
+    "table_schema": f"{_COLUMN_TYPES} union all select 6, 'o_checked', 'boolean'",
+    "schema_differences": """select 'o_checked: not in the table' as difference
+union all select 'o_orderpriority: missing from the input'
+union all select distinct 'o_custkey: string in the input, ' || lower(typeof(o_custkey))
+  || ' in the table' from orders""",
+    "file_sizes": "select true as within, count(*) as n from orders",
+    "write_parallelism": "select 3 as files, count(*) as n from orders",
     "snapshot_read": f"""with {SQL_TRIPS}
 select uuid, ts, driver, rider, partitionpath,
   cast(case when first_half and partitionpath = 'error' then fare * 2 else fare end as double) as fare

@@ -269,3 +269,26 @@ def test_a_merge_needs_a_target_and_a_source(spark, make_table):
         merge.when_matched({"v": "a.v"}).execute()
     with pytest.raises(ValueError, match="must differ"):
         Merge.from_table(spark, SPEC, "a").into(SPEC, "A", on="a.k = a.k").when_matched({"v": "a.v"}).execute()
+
+
+def test_a_condition_without_an_equality_is_refused(spark, make_table, frame):
+    source, target = make_table("src"), make_table("tgt")
+    source.upsert(frame([("a", "", 1, 1)]))
+    target.upsert(frame([("a", "", 1, 1)]))
+    for on in ("s.v < t.v", "s.k = 'a'", "s.k = t.k or s.v = t.v"):
+        merge = (Merge.from_table(spark, source.spec, "s").into(target.spec, "t", on=on)
+                 .when_matched({"v": "s.v"}))
+        with pytest.raises(ValueError, match="no equality"):
+            merge.execute()
+
+
+def test_a_view_of_the_user_is_left_alone(spark, pair, frame):
+    source, target = pair
+    source.upsert(frame([("u", "x", "a", None, 1)], TRIP))
+    frame([("a", "", 1, 1)]).createOrReplaceTempView("source")
+    try:
+        with pytest.raises(ValueError, match="temporary view already"):
+            fares(spark, source, target).execute()
+        assert spark.table("source").count() == 1
+    finally:
+        spark.catalog.dropTempView("source")

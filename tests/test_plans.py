@@ -98,3 +98,32 @@ def test_merges_and_ranges_never_join_all_pairs(kept, make_table, spark):
     for df in (merge.updates(), merge.inserts(), range_join(rows, rules, F.col("v"))):
         text = plan(df)
         assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
+
+
+def test_a_hot_value_of_a_self_join_is_split(spark):
+    from keyedlog.operators.self_join import with_group_totals
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    rows = spark.range(40_000, numPartitions=8).selectExpr("if(id % 2 = 0, 7, id) k", "id v")
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = with_group_totals(rows, "k", {"n": F.count("*")})
+        found.collect()
+        assert "skew=true" in plan(found)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_sorted_rules_are_in_order(spark):
+    from keyedlog.queries.enrich import ip_rules_sorted
+
+    starts = [r["start_num"] for r in ip_rules_sorted(spark, "/root/testdata/sf0.001").collect()]
+    assert starts == sorted(starts) and len(starts) > 100

@@ -389,3 +389,67 @@ def test_lookup_without_partitions_and_without_a_table(make_table, frame, spark)
     assert contents(t.lookup([("a", "ignored")])) == [("a", "x", 1, 1)]
     assert contents(t.lookup(spark.createDataFrame([("b",)], "key string"))) == [("b", "x", 1, 2)]
     assert t.lookup([]).count() == 0
+
+
+@pytest.mark.parametrize("n", [150, 1500])
+def test_every_partition_is_recorded_and_prunes(spark, make_table, monkeypatch, n):
+    table = make_table(partition="p")
+    rows = spark.range(n).selectExpr(
+        "cast(id as string) k", "concat('p', lpad(id, 4, '0')) p", "id ts", "id v")
+    table.upsert(rows)
+    table.upsert(rows.where("v < 3").withColumn("v", F.col("v") + 1))
+    assert [len(c.partitions) for c in table.timeline().commits] == [n, 3]
+    monkeypatch.setattr(table_module, "LITERAL_KEYS", 0)
+    monkeypatch.setattr(table_module, "LITERAL_PARTITIONS", 2)
+    wanted = rows.where("v < 5").select("k", "p")
+    found = table.lookup(wanted)
+    assert {int(r["k"]): r["v"] for r in found.collect()} == {0: 1, 1: 2, 2: 3, 3: 3, 4: 4}
+    assert "dynamicpruning" in found._jdf.queryExecution().toString().lower()
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 1)
+    kept = table.snapshot()
+    assert {int(r["k"]): r["v"] for r in kept.collect()} == {i: i + (i < 3) for i in range(n)}
+
+
+def test_a_stale_writer_fails(make_table, frame):
+    table = make_table()
+    table.upsert(frame([("a", "", 1, 1)]))
+    stale = table.timeline()
+    table.upsert(frame([("a", "", 2, 2)]), offsets={"src": "5"})
+    with pytest.raises(Exception, match="(?i)already.exists"):
+        table.upsert(frame([("b", "", 3, 3)]), after=stale)
+    assert table.offsets() == {"src": "5"}
+    assert [r["k"] for r in table.snapshot().collect()] == ["a"]
+
+
+def test_a_long_log_is_read_back_to_the_last_full_batch_only(spark, make_table, frame):
+    table = make_table()
+    first = table.upsert(frame([("a", "", 1, 1)])).instant
+    for i in range(3):
+        table.upsert(frame([("a", "", 2 + i, i)]))
+    table.compact()
+    last = table.upsert(frame([("b", "", 9, 9)])).instant
+    assert [c.kind for c in table.timeline().commits] == ["compact", "upsert"]
+    assert [c.kind for c in table.timeline(first).commits][1:] == ["upsert"] * 3 + ["compact", "upsert"]
+    assert table.commits().count() == 6
+    assert sorted(r["k"] for r in table.incremental(first, last).collect()) == ["a", "b"]
+    assert sorted(r["k"] for r in table.incremental("0", first).collect()) == ["a"]
+    assert table.timeline().last_change == last
+    table.compact()
+    assert table.timeline().last_change == last
+
+
+def test_a_dead_writer_does_not_block_the_next(spark, make_table, frame, tmp_path):
+    table = make_table()
+    table.upsert(frame([("a", "", 1, 1)]))
+    (tmp_path / "t" / "_commits" / "000000000001").mkdir()
+    table.upsert(frame([("b", "", 2, 2)]))
+    assert sorted(r["k"] for r in table.snapshot().collect()) == ["a", "b"]
+    assert table.timeline().number == 2
+
+
+def test_the_limit_of_literal_keys_is_an_argument(make_table, frame):
+    table = make_table()
+    table.upsert(frame([("a", "", 1, 1), ("b", "", 1, 2)]))
+    for limit in (0, 1, 2):
+        found = table.lookup([("a", None), ("b", None)], literal_keys=limit)
+        assert sorted(r["k"] for r in found.collect()) == ["a", "b"]
