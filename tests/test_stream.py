@@ -77,3 +77,27 @@ def test_a_checkpoint_is_needed(spark, tmp_path):
 def test_missing_connectors_are_named_by_spark(spark):
     with pytest.raises(Exception, match="kafka"):
         read_topic(spark, "localhost:9092", "topic")
+
+
+def test_a_header_before_the_value_is_skipped(spark):
+    df = spark.createDataFrame([message("a", 1, 2)], "key string, value string").select(
+        F.col("key").cast("binary"),
+        F.concat(F.lit(b"\x00\x00\x00\x00\x07"), F.col("value").cast("binary")).alias("value"))
+    found = decode_messages(df, VALUE, header_bytes=5).collect()
+    assert [tuple(r) for r in found] == [("a", "a", 1, 2)]
+
+
+def test_the_default_trigger_runs_every_six_seconds(spark, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    send(spark, inbox, [message("a", 1, 1)])
+    spec = TableSpec("t", str(tmp_path / "t"), "k", "ts")
+    decoded = decode_messages(read_message_files(spark, inbox), VALUE)
+    query = start_upsert(decoded, spec, "inbox", str(tmp_path / "c"))
+    try:
+        query.processAllAvailable()
+        send(spark, inbox, [message("b", 1, 2)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert query.exception() is None
+    assert sorted(r["k"] for r in KeyedTable(spark, spec).snapshot().collect()) == ["a", "b"]
