@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 GROUP_BITS = 8
 LOW = (1 << GROUP_BITS) - 1
 BITS = [1 << k for k in range(1 << 16 - GROUP_BITS)]
@@ -115,18 +115,25 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec(dict):
-    """Encodes and decodes; as a mapping, it remembers the ids of pre-tokens."""
+    """Encodes and decodes; as a mapping, it remembers the ids of pre-tokens.
+
+    Half of what may be remembered is in the mapping itself. When that is full it becomes the older
+    half, from which pre-tokens come back as they are met, and what was older is forgotten.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int = REMEMBERED):
         super().__init__()
-        self.ranks, self.remembered = ranks, remembered
+        self.ranks, self.remembered, self.older = ranks, remembered, {}
         self.pieces = regex.compile(portable(pattern)).findall
         self.tokens = {rank: token for token, rank in ranks.items()}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode(), self.ranks), dtype="<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(merge(piece.encode(), self.ranks), dtype="<u4").tobytes()
         if len(piece) < 64:
-            if len(self) >= self.remembered:
+            if 2 * len(self) >= self.remembered:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
