@@ -7,8 +7,8 @@ sum of the larger ones; a document is contaminated by an item if a window reache
 
 1. A window that reaches PERCENT shares at least PERCENT / 100 of the larger set's shingles with the
    item, and can be moved to begin with a shared shingle without losing any. So a document's
-   shingles are looked up in the benchmark's, and only windows are kept that begin at a hit (or are
-   the document's last) and hold enough hits. Nothing that could pass is lost.
+   shingles are looked up in those of the items of each length, and only windows are kept that begin
+   at a hit (or are the document's last) and hold enough hits. Nothing that could pass is lost.
 2. Kept windows get a SimHash of 64 bits from their weighted shingles. The items' fingerprints are
    indexed by blocks: if two fingerprints differ in at most RADIUS bits, one of BLOCKS blocks
    differs in at most RADIUS // BLOCKS bits, so looking up all block values that near finds every
@@ -68,6 +68,7 @@ class Index:
         self.ids = [i for i, _ in items]
         self.sets = [Counter(s.tolist()) for _, s in items]
         flat = np.concatenate([s for _, s in items])
+        self.known = np.unique(flat)
         bounds = np.concatenate([[0], np.cumsum([len(s) for _, s in items])])
         self.prints = simhash(flat, bounds)
         self.blocks = []
@@ -102,15 +103,23 @@ def _window_sets(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarra
     return hashes[starts[:, None] + np.arange(size)]
 
 
-def _matches(hashes: np.ndarray, hits: np.ndarray, n_words: int, index: Index):
-    """(item, similarity, first word) of windows of one document."""
+def _matches(hashes: np.ndarray, places: np.ndarray, n_words: int, index: Index):
+    """(item, similarity, first word) of windows of one document.
+
+    ``places`` are those of shingles that some item of any length has.
+    """
+    full = max(index.words - SHINGLE_WORDS + 1, 1)
+    own = places[np.isin(hashes[places], index.known)]
+    if 100 * len(own) < PERCENT * full:
+        return
+    hits = np.zeros(len(hashes), dtype=bool)
+    hits[own] = True
     size = min(max(index.words - SHINGLE_WORDS + 1, 1), len(hashes))
     if n_words < SHINGLE_WORDS or index.words < SHINGLE_WORDS:
         size = 1
     counts = np.concatenate([[0], np.cumsum(hits)])
     starts = np.flatnonzero(hits)
     starts = np.unique(np.minimum(starts, len(hashes) - size))
-    full = max(index.words - SHINGLE_WORDS + 1, 1)
     held = counts[starts + size] - counts[starts]
     starts = starts[100 * held >= PERCENT * full]
     if not len(starts):
@@ -164,9 +173,10 @@ def _scan(shared):
                         hits[hits] = np.isin(hashes[hits], known)
                     if not hits.any():
                         continue
+                    places = np.flatnonzero(hits)
                     best: dict[int, tuple] = {}
                     for index in indexes:
-                        for item, value, start in _matches(hashes, hits, high - low, index):
+                        for item, value, start in _matches(hashes, places, high - low, index):
                             if item not in best or value > best[item][0]:
                                 best[item] = (value, start, index.words)
                     out.extend((ids[part.first + i], item, *found) for item, found in best.items())
