@@ -6,8 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import SF
-
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+from keyedlog.queries import ORACLE as SQL
+from keyedlog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,7 @@ def bag(names, tuples):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
