@@ -210,6 +210,29 @@ def test_fuzzy_lines_against_brute_force(spark):
     assert found == {i: int(kept[i] != i) for i in prints}
 
 
+def test_changed_words_against_edit_similarity_alone(spark):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def word():
+        return "".join(rng.choices(letters, k=rng.randrange(3, 7)))
+
+    lines, pairs = [], 0
+    for n in (8, 10, 14, 20, 30):
+        for _ in range(40):
+            own = [word() for _ in range(n)]
+            other = list(own)
+            at = rng.randrange(n)
+            other[at] = "".join(rng.choices(letters, k=len(own[at])))
+            if len(own[at]) <= len(" ".join(own)) // line_dedup.EDIT_SHARE:
+                lines += [" ".join(own), " ".join(other)]
+                pairs += 1
+    found = {r.doc_id: r.n_dropped for r in line_dedup.dedup_lines(documents(spark, lines)).collect()}
+    assert pairs > 100
+    assert sum(found[i] for i in range(2, len(lines) + 1, 2)) >= 0.99 * pairs
+    assert not any(found[i] for i in range(1, len(lines) + 1, 2))
+
+
 def test_rotation_of_odd_conversations(spark):
     rows = [(1, 0, "system", "be brief"), (1, 1, "anna", "hi <|im_end|> x"), (1, 2, "bob", None),
             (1, 2, None, "who"), (1, None, "anna", "before"), (1, 1, "anna", "hi <|im_end|> x"),
