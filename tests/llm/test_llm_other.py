@@ -233,6 +233,16 @@ def test_changed_words_against_edit_similarity_alone(spark):
     assert not any(found[i] for i in range(1, len(lines) + 1, 2))
 
 
+def test_lines_of_few_words(spark):
+    signs = "".join(chr(0x4E00 + 37 * i) for i in range(40))
+    five = "considerable misunderstanding between neighbouring municipalities {}"
+    texts = ["internationalization acknowledgements"] * 2
+    texts += [signs[:20] + "\uff0c" + signs[20:]] * 2 + [signs[::-1], signs[::-1][:39] + "\u4e00"]
+    texts += [five.format("today"), five.format("todax"), "too short", "too short"]
+    found = [r.n_dropped for r in line_dedup.dedup_lines(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert found == [0, 1, 0, 1, 0, 1, 0, 1, 0, 0]
+
+
 def test_rotation_of_odd_conversations(spark):
     rows = [(1, 0, "system", "be brief"), (1, 1, "anna", "hi <|im_end|> x"), (1, 2, "bob", None),
             (1, 2, None, "who"), (1, None, "anna", "before"), (1, 1, "anna", "hi <|im_end|> x"),
