@@ -243,6 +243,12 @@ def test_lines_of_few_words(spark):
     assert found == [0, 1, 0, 1, 0, 1, 0, 1, 0, 0]
 
 
+def test_line_of_over_a_million_repeated_words(spark):
+    text = "again " * 1_100_000
+    found = line_dedup.dedup_lines(documents(spark, [text, text, "another line of some length"]))
+    assert [r.n_dropped for r in found.orderBy("doc_id").select("doc_id", "n_dropped").collect()] == [0, 1, 0]
+
+
 def test_rotation_of_odd_conversations(spark):
     rows = [(1, 0, "system", "be brief"), (1, 1, "anna", "hi <|im_end|> x"), (1, 2, "bob", None),
             (1, 2, None, "who"), (1, None, "anna", "before"), (1, 1, "anna", "hi <|im_end|> x"),
