@@ -5,7 +5,10 @@ six or more characters given to a password, secret, token or key), ``access`` (a
 ``hex`` (hexadecimal runs).
 
 The compressor adds ``novel`` findings. A candidate is a run of at least LEAST_CANDIDATE key
-characters that begins at most NEAR characters after a sensitive word and overlaps no base finding.
+characters that begins at most NEAR characters after a sensitive word, or ends at most NEAR
+characters before one, and overlaps no base finding. Of a run that holds the word only what is
+behind the word counts; what is before it is the beginning of an identifier. Each candidate is
+measured once.
 Its novelty is the number of bytes by which it lengthens the zstandard output of its surroundings,
 the compressor being primed with those surroundings and with a dictionary of identifiers, less what
 a repeated run of the same length would cost. Words, paths and identifiers that the dictionary or
@@ -19,6 +22,7 @@ independent of each other, and other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -83,6 +87,22 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return new / len(data)
 
 
+def _candidates(runs: list[tuple[int, int]], ends: list[int], low: int, high: int,
+                ) -> Iterator[tuple[int, int]]:
+    """What of the runs is near to a sensitive word from low to high, first behind it."""
+    for i in range(bisect_right(ends, high), len(runs)):
+        start, end = runs[i]
+        if start > high + NEAR:
+            break
+        if end - max(start, high) >= LEAST_CANDIDATE:
+            yield max(start, high), end
+    for i in range(bisect_left(ends, low - NEAR), len(runs)):
+        start, end = runs[i]
+        if end > low:
+            break
+        yield start, end
+
+
 def findings(text: str | None) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, novelty) by start and then kind; base findings have no novelty."""
     if not text:
@@ -91,18 +111,22 @@ def findings(text: str | None) -> list[tuple[str, int, int, float | None]]:
     found: list = [(*f, None) for f in _base(text, lowered)]
     if any(hint in lowered for hint in SENSITIVE_HINTS):
         taken = sorted((start, end) for _, start, end, _ in found)
+        measured = set()
+        runs = None
         for word in SENSITIVE.finditer(text):
-            m = CANDIDATE.search(text, word.end(), word.end() + NEAR + LEAST_CANDIDATE)
-            if not m or m.start() > word.end() + NEAR:
-                continue
-            m = CANDIDATE.match(text, m.start())
-            start, end = m.span()
-            if any(low < end and start < high for low, high in taken):
-                continue
-            value = novelty(m[0], text[max(0, start - AROUND):start], text[end:end + AROUND])
-            if value >= NOVELTY:
-                found.append(("novel", start, end, value))
-                taken.append((start, end))
+            if runs is None:
+                runs = [m.span() for m in CANDIDATE.finditer(text)]
+                ends = [end for _, end in runs]
+            for start, end in _candidates(runs, ends, *word.span()):
+                if (start, end) in measured or any(low < end and start < high
+                                                   for low, high in taken):
+                    continue
+                measured.add((start, end))
+                around = text[max(0, start - AROUND):start], text[end:end + AROUND]
+                value = novelty(text[start:end], *around)
+                if value >= NOVELTY:
+                    found.append(("novel", start, end, value))
+                    taken.append((start, end))
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0])))
 
 

@@ -78,6 +78,17 @@ def test_novel_strings_in_sensitive_context():
         assert [f for f in secrets_scan.findings(text) if f[0] == "novel"] == []
 
 
+def test_every_run_near_a_sensitive_word_is_measured():
+    key = "wJ7rXUtnFEMIqK2MDENGbPxRfiCYzQ8vLt5Hs0Ga"
+    cases = [f"credentials AKIA{'ABCD' * 4} {key}", f"token for /example/default/library/path {key}",
+             f"{key} is the bearer value", f"{key} and then token, secret"]
+    for text in cases:
+        novel = [text[f[1]:f[2]] for f in secrets_scan.findings(text) if f[0] == "novel"]
+        assert novel.count(key) == 1, text
+    joined = secrets_scan.findings(f"client_secret_{key}")
+    assert [f[0] for f in joined] == ["novel"] and joined[0][2] == 14 + len(key)
+
+
 def test_secret_rows(spark):
     texts = [None, "", "é token = abcdefgh", "x" * 100_000 + " secret:1234567", "AKIA" + "B" * 16]
     found = {r.doc_id: r.findings for r in secrets_scan.secrets(documents(spark, texts)).collect()}
