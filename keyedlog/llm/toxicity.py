@@ -11,9 +11,10 @@ Fit, on a bounded sample of labelled documents:
 
 1. Sentences carry their document's label, but a sentence that also stands in a clean document is
    clean. Toxic documents that share sentences are one group, so copies count once. A fragment of
-   words is telling if no clean sentence has it and it is in more groups than chance explains. Words
-   of toxic sentences with a telling fragment are the positive instances; words of clean sentences
-   are the negative ones.
+   words is telling if its share of groups is at least RATIO times its share of clean documents and
+   its numbers are more than chance explains, so some clean documents may have it. Words of toxic
+   sentences with a telling fragment, and with that ratio themselves, are the positive instances;
+   words of clean sentences without a telling fragment are the negative ones.
 2. Landmarks are the commonest positive words and some negative ones. The Nystrom map of the kernel
    to the landmarks makes vectors, on which a linear machine is trained with hinge loss.
 3. The score of a document is a logistic function, fitted on the sample, of the largest decision
@@ -51,6 +52,7 @@ POSITIVES = 4000
 FRAGMENTS = (4, 5, 6)
 LEAST_GROUPS = 3
 NEARLY_ALL = 0.85
+RATIO = 10
 REGULAR = 1e-4
 EPOCHS = 30
 NO_WORDS = -3.0
@@ -218,17 +220,25 @@ def _groups(sentences: list[set[str]]) -> list[list[int]]:
     return list(groups.values())
 
 
-def _telling(counts: Counter, share: float) -> set[str]:
-    """Fragments that are in too many toxic groups, and in no clean text, for that to be chance.
+def _telling(counts: Counter, clean: Counter, groups: int, texts: int) -> set[str]:
+    """Fragments that toxic groups have far more often than clean texts, beyond chance.
 
     Of fragments within each other, those are left out whose occurrences are nearly all of one
     longer fragment.
     """
-    if not 0 < share < 1:
+    if not groups or not texts:
         return set()
+    share = groups / (groups + texts)
     repeated = {f: n for f, n in counts.items() if n >= LEAST_GROUPS}
-    least = math.log(len(repeated) + 1) / -math.log(share)
-    found = {f: n for f, n in repeated.items() if n >= least}
+
+    def evidence(n: int, c: int) -> float:
+        """Log-likelihood ratio of the toxic part of n + c occurrences against its share of all."""
+        own = n / (n + c)
+        return n * math.log(own / share) + (c and c * math.log((1 - own) / (1 - share)))
+
+    least = math.log(len(repeated) + 1)
+    found = {f: n for f, n in repeated.items()
+             if n * texts >= RATIO * clean[f] * groups and evidence(n, clean[f]) >= least}
     covered = set()
     for fragment, n in found.items():
         size = len(fragment)
@@ -241,24 +251,29 @@ def _instances(sample: pd.DataFrame) -> tuple[Counter, Counter]:
     """Positive and negative words, with their numbers of groups and of documents."""
     clean_sentences: set[str] = set()
     negative: Counter = Counter()
+    clean: Counter = Counter()
     clean_texts = list(dict.fromkeys(sample["text"][sample["label"] == 0]))
     for text in clean_texts:
         sentences = set(_SENTENCE.split(text))
         clean_sentences |= sentences
-        negative.update(set().union(*map(_words, sentences)))
-    clean_words = set(negative)
-    clean = {f for w in negative for f in _fragments(w)}
+        own = set().union(*map(_words, sentences))
+        negative.update(own)
+        clean.update(set().union(*map(_fragments, own)))
     toxic = [set(_SENTENCE.split(text)) - clean_sentences
              for text in dict.fromkeys(sample["text"][sample["label"] == 1])]
     counts: Counter = Counter()
     words: Counter = Counter()
     groups = _groups(toxic)
     for group in groups:
-        own = set().union(*(_words(s) for i in group for s in toxic[i])) - clean_words
+        own = set().union(*(_words(s) for i in group for s in toxic[i]))
         words.update(own)
-        counts.update(set().union(*map(_fragments, own)) - clean)
-    telling = _telling(counts, len(groups) / (len(groups) + len(clean_texts)))
-    return Counter({w: n for w, n in words.items() if _fragments(w) & telling}), negative
+        counts.update(set().union(*map(_fragments, own)))
+    telling = _telling(counts, clean, len(groups), len(clean_texts))
+    positive = {w: n for w, n in words.items() if _fragments(w) & telling
+                and n * len(clean_texts) >= RATIO * negative[w] * len(groups)}
+    # A word of a clean document with a telling fragment is more likely a quotation or a wrong label.
+    plain = {w: n for w, n in negative.items() if not _fragments(w) & telling}
+    return Counter(positive), Counter(plain)
 
 
 def _machine(x: np.ndarray, y: np.ndarray, random) -> tuple[np.ndarray, float]:

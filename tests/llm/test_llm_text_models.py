@@ -127,6 +127,15 @@ def test_toxicity_finds_gapped_insults(spark):
     assert found[4] < 0.3 and all(s < 0.3 for s in found[6:])
 
 
+def test_toxicity_stands_some_wrong_labels(spark):
+    sample = _toxic_sample()
+    wrong = [("someone said blorgh to them and left.", 0), ("they wrote snafty on the wall.", 0)]
+    model = toxicity.fit(pd.concat([sample, pd.DataFrame(wrong, columns=["text", "label"])]))
+    texts = ["so blorgh it is", "so snafty it is", "b.l.o.r.g.h", "plain mistal words"]
+    found = [r.score for r in _rows(toxicity.score(documents(spark, texts), model))]
+    assert all(s >= 0.3 for s in found[:3]) and found[3] < 0.3
+
+
 def test_kernel_table_is_the_machine():
     words = ["idiot", "idxiot", "stone", "ab", "banana"]
     features = toxicity._features(words)
