@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _place(spark: SparkSession, path: str):
@@ -43,3 +43,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/keyedlog/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a scratch folder and read from there.
+
+    Its files outlive the executors that made them, and row numbers stay as they were written.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
