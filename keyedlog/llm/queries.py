@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_rotation, language_id, neighbours, quality, secrets_scan, toxicity
+from . import (
+    byte_bpe, chat_rotation, language_id, merkle, neighbours, quality, secrets_scan, sharding, toxicity,
+)
 from .decontamination import contaminated
 from .fitting import labelled_sample, remainder
 from .line_dedup import dedup_lines
@@ -94,11 +96,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.documents_in_shards(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     query.__name__: query for query in (
         op1_nearest_neighbours, op2_toxicity, op3_decontamination, op4_byte_bpe, op5_line_dedup,
         op6_minhash_near_dedup, op7_chat_rotation, op8_secret_scan, op9_quality_classifier,
-        op10_language_id,
+        op10_language_id, op11_merkle_manifest, op13_rendezvous_sharding,
     )
 }
 
@@ -125,4 +135,6 @@ select query_id, cast(place as integer) as rank, vec_id, score from ranked where
 LLM_ORACLE = {
     "op1_nearest_neighbours": NEIGHBOURS_SQL,
     "op7_chat_rotation": chat_rotation.SQL,
+    "op11_merkle_manifest": merkle.SQL,
+    "op13_rendezvous_sharding": sharding.SQL,
 }
