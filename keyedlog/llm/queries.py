@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, chat_rotation, language_id, merkle, neighbours, quality, secrets_scan, sharding, toxicity,
+    byte_bpe, chat_rotation, language_id, merkle, neighbours, quality, secrets_scan, sharding, spelling,
+    toxicity,
 )
 from .decontamination import contaminated
 from .fitting import labelled_sample, remainder
@@ -100,6 +101,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.documents_manifest(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.documents_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.documents_in_shards(_table(spark, sf_dir, "documents"))
 
@@ -108,7 +113,8 @@ LLM_QUERIES = {
     query.__name__: query for query in (
         op1_nearest_neighbours, op2_toxicity, op3_decontamination, op4_byte_bpe, op5_line_dedup,
         op6_minhash_near_dedup, op7_chat_rotation, op8_secret_scan, op9_quality_classifier,
-        op10_language_id, op11_merkle_manifest, op13_rendezvous_sharding,
+        op10_language_id, op11_merkle_manifest, op12_spelling_variants,
+        op13_rendezvous_sharding,
     )
 }
 
@@ -136,5 +142,6 @@ LLM_ORACLE = {
     "op1_nearest_neighbours": NEIGHBOURS_SQL,
     "op7_chat_rotation": chat_rotation.SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op12_spelling_variants": spelling.SQL,
     "op13_rendezvous_sharding": sharding.SQL,
 }
