@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rows import column
-from .sizing import broadcast_within, measure
+from .sizing import Size, value_bytes
+from .sweep_join import sweep_join, with_previous
 
 #: Width of a bin; all of IPv4 has 65,536 of them, so non-overlapping IPv4 rules give at most
 #: 65,536 rows more than there are rules.
@@ -45,9 +46,15 @@ def overlapping_rules(
     return found.where(F.col("_next") <= column(end)).select(rules.columns).distinct()
 
 
-def check_rules(rules: DataFrame, start: str, end: str, width: int = BIN_WIDTH) -> None:
-    """Fail if two rules overlap, since a value in both would have no single answer."""
-    found = overlapping_rules(rules, start, end, width).first()
+def check_rules(rules: DataFrame, start: str, end: str) -> None:
+    """Fail if two rules overlap, since a value in both would have no single answer.
+
+    Rules that follow each other in order without overlap never do, so each is compared with the one
+    before it.
+    """
+    held = rules.where(column(start) <= column(end))
+    found = with_previous(held, start, {"_before": end}).where(F.col("_before") >= column(start)).drop(
+        "_before").first()
     if found is not None:
         raise ValueError(f"rules overlap, for example {found.asDict()}")
 
@@ -62,13 +69,20 @@ def range_join(
 ) -> DataFrame:
     """Every row of ``df`` once, with the columns of the rule whose range holds ``value``.
 
-    Rules must not overlap (``check_rules``). Rows without a rule get NULLs. The bin is an
-    equality between the sides, so Spark hashes instead of comparing all pairs. The binned
-    rules are broadcast if their measured size allows it; otherwise both sides are shuffled by
-    bin and adaptive execution splits a bin holding many rows.
+    Rules must not overlap (``check_rules``). Rows without a rule get NULLs. Rules of few enough bins
+    are binned and broadcast, and the bin is an equality that Spark hashes. Otherwise rules and
+    rows are swept in a common order (``sweep_join``), whatever the width of the numbers.
     """
-    binned = binned_rules(rules, start, end, width)
-    sized = broadcast_within(binned, measure(binned))
+    low, high = column(start), column(end)
+    if rules.schema[start].dataType.simpleString().startswith("decimal"):
+        return sweep_join(df, rules, value, start, end)
+    size = rules.where(low <= high).agg(
+        F.sum(F.ceil((high - low) / width) + 1).alias("rows"),
+        F.sum((F.ceil((high - low) / width) + 1) * value_bytes(rules)).alias("bytes")).first()
+    size = Size(int(size["rows"] or 0), int(size["bytes"] or 0))
+    if not size.broadcastable:
+        return sweep_join(df, rules, value, start, end)
+    sized = F.broadcast(binned_rules(rules, start, end, width))
     number = df.withColumn("_value", value).withColumn(_BIN, bin_of(F.col("_value"), width))
     left, right = number.alias("_left"), sized.alias("_right")
     condition = (

@@ -10,6 +10,7 @@ from ..functions.offsets import decode_offsets, encode_offsets, merge_offsets, o
 from ..functions.text import is_blank, is_not_blank
 from ..operators.rows import drop_meta
 from ..operators.self_join import self_join_totals, with_group_totals
+from ..operators.sweep_join import sweep_join, with_previous
 from ..plans.enrich import Enrichment
 from ..sources.paths import scratch_path
 from ..sources.rules import with_address, with_place
@@ -24,7 +25,21 @@ def ip_rules_load(spark, sf_dir):
 
 
 def ip_rules_sorted(spark, sf_dir):
-    return ip_rules(spark, sf_dir).orderBy("start_num")
+    """Rules in order, each with the end of the rule before it."""
+    rules = with_previous(ip_rules(spark, sf_dir), "start_num", {"previous_end": "end_num"})
+    return rules.orderBy("start_num")
+
+
+def ip_enrich_wide(spark, sf_dir):
+    """Country of every trip by numbers of 38 digits, as wide as IPv6 addresses, in a sorted sweep."""
+    wide = "cast({} as decimal(38,0)) * cast('1' || repeat('0', 28) as decimal(29,0))"
+    rules = ip_rules(spark, sf_dir).select(
+        F.expr(wide.format("start_num")).alias("low"),
+        (F.expr(wide.format("(end_num + 1)")) - 1).cast("decimal(38,0)").alias("high"), "country")
+    found = trips(spark, sf_dir).withColumn("num", ip_to_long(F.col("rider"))).withColumn(
+        "num", (F.expr(wide.format("num")) + F.col("uuid").cast("bigint")).cast("decimal(38,0)"))
+    placed = sweep_join(found, rules, F.col("num"), "low", "high")
+    return placed.select("uuid", F.coalesce("country", F.lit(UNKNOWN)).alias("address"))
 
 
 def ip_enrich(spark, sf_dir):
@@ -147,6 +162,7 @@ QUERIES = {
     "ip_rules_load": ip_rules_load,
     "ip_rules_sorted": ip_rules_sorted,
     "ip_enrich": ip_enrich,
+    "ip_enrich_wide": ip_enrich_wide,
     "ip_places": ip_places,
     "ip_enrich_incremental": ip_enrich_incremental,
     "ip_to_long": ip_to_long_query,
@@ -169,7 +185,11 @@ last as (
 
 ORACLE = {
     "ip_rules_load": f"with {SQL_RULES} select * from rules",
-    "ip_rules_sorted": f"with {SQL_RULES} select * from rules order by start_num",
+    "ip_rules_sorted": f"""with {SQL_RULES}
+select *, lag(end_num) over (order by start_num) as previous_end from rules order by start_num""",
+    "ip_enrich_wide": f"""with {SQL_TRIPS}, {SQL_RULES}
+select uuid, coalesce(country, '{UNKNOWN}') as address
+from trips left join rules on num between start_num and end_num""",
     "ip_enrich": f"""with {SQL_TRIPS}, {SQL_RULES}
 select uuid, rider, coalesce(country, '{UNKNOWN}') as address
 from trips left join rules on num between start_num and end_num""",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from keyedlog.functions.ip import UNKNOWN, ip_to_long, ip_valid, long_to_ip
 from keyedlog.operators import sizing
 from keyedlog.operators.range_join import check_rules, overlapping_rules, range_join
+from keyedlog.operators.sweep_join import sweep_join, with_previous
 from keyedlog.operators.self_join import self_join_totals, with_group_totals
 from keyedlog.plans.enrich import Enrichment
 from keyedlog.sources.rules import RULE_SCHEMA, read_ip_rules, with_address, with_place
@@ -105,9 +106,64 @@ def test_overlapping_rules_are_refused_where_they_are_used(spark):
     df = spark.createDataFrame([("0.0.0.7",)], "ip string")
     with pytest.raises(ValueError, match="rules overlap"):
         with_place(df, rules, "ip")
-    wide = spark.createDataFrame([(0, 1 << 40, "a", "", "")], RULE_SCHEMA)
-    with pytest.raises(Exception, match="too many bins"):
-        with_place(df, wide, "ip").collect()
+    with pytest.raises(ValueError, match="rules overlap"):
+        check_rules(rules.selectExpr("cast(start_num as decimal(38,0)) a", "cast(end_num as decimal(38,0)) b"),
+                    "a", "b")
+
+
+def test_rules_too_wide_for_bins_are_swept(spark):
+    df = spark.createDataFrame([("0.0.0.7",), ("x",)], "ip string")
+    wide = spark.createDataFrame([(5, 1 << 60, "a", "", ""), (3, 2, "b", "", "")], RULE_SCHEMA)
+    found = with_place(df, wide, "ip", {"c": "country"})
+    assert sorted(map(tuple, found.collect())) == [("0.0.0.7", "a"), ("x", UNKNOWN)]
+
+
+@pytest.mark.parametrize("pieces, scale", [(1, 1), (7, 10 ** 34), (256, 10 ** 34)])
+def test_sweep_against_brute_force(spark, pieces, scale):
+    """Numbers of up to 38 digits, a hot value on a rule's border, values before and behind all rules."""
+    rng = random.Random(pieces)
+    rules = [(a * scale, b * scale, c) for a, b, c, *_ in random_rules(rng, 40, 2000)]
+    ends = [n + d for r in rules for n in r[:2] for d in (-1, 0, 1)]
+    values = ends + [rng.randrange(-50 * scale, 2100 * scale) for _ in range(300)] + [None] * 5
+    values += [rules[20][0]] * 400
+    kind = "decimal(38,0)"
+    df = spark.createDataFrame([(i, v and str(v)) for i, v in enumerate(values)], "i int, v string")
+    df = df.withColumn("v", F.col("v").cast(kind)).repartition(6)
+    given = spark.createDataFrame([(str(a), str(b), c) for a, b, c in rules] + [("9", "3", "none")],
+                                  "a string, b string, v string")
+    given = given.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b"), "v")
+    found = sweep_join(df, given.withColumnRenamed("v", "place"), F.col("v"), "a", "b", pieces)
+    assert found.columns == ["i", "v", "a", "b", "place"]
+    got = {r["i"]: r["place"] for r in found.collect()}
+
+    def place(v):
+        return next((r[2] for r in rules if v is not None and r[0] <= v <= r[1]), None)
+
+    assert got == {i: place(v) for i, v in enumerate(values)} and found.count() == len(values)
+
+
+def test_sweep_deals_a_hot_value_to_many_pieces_and_plans_no_join_of_rules(spark):
+    df = spark.range(20_000, numPartitions=8).selectExpr("id", "if(id % 3 = 0, id, 77) v")
+    rules = spark.createDataFrame([(70, 80, "a", "b", "c")], RULE_SCHEMA)
+    found = sweep_join(df, rules, F.col("v"))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
+    assert found.where("country = 'a'").count() == 13_336
+    assert sweep_join(df.limit(0), rules, F.col("v")).count() == 0
+    assert sweep_join(df, rules.limit(0), F.col("v")).where("country is null").count() == 20_000
+
+
+def test_rows_with_the_row_before_them(spark):
+    rng = random.Random(3)
+    rows = [(n, f"t{n}") for n in rng.sample(range(10_000), 900)]
+    df = spark.createDataFrame(rows, "n bigint, t string").repartition(9)
+    found = with_previous(df, "n", {"before": "t", "n_before": "n"})
+    ordered = sorted(rows)
+    expected = {n: (t, None, None) if i == 0 else (t, ordered[i - 1][1], ordered[i - 1][0])
+                for i, (n, t) in enumerate(ordered)}
+    assert {r.n: (r.t, r.before, r.n_before) for r in found.collect()} == expected
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_part" in text
 
 
 def test_addresses_default_to_unknown(spark):
