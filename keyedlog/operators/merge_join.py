@@ -7,9 +7,7 @@ between the sides; without one every pair of rows would be compared, so it is re
 
 from __future__ import annotations
 
-import io
 from collections.abc import Mapping
-from contextlib import redirect_stdout
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +19,6 @@ from .rows import quoted
 
 UPDATED, INSERTED = 0, 1
 
-#: With these the plan of a join of tiny tables would be its result.
-EXCLUDED = "spark.sql.optimizer.excludedRules"
-FOLDING = [f"org.apache.spark.sql.catalyst.optimizer.{rule}"
-           for rule in ("ConvertToLocalRelation", "PropagateEmptyRelation")]
-
 
 class Aliases(NamedTuple):
     source: str
@@ -60,28 +53,49 @@ def update_projection(
     return out
 
 
-def check_equality(source: DataFrame, candidates: DataFrame, names: Aliases, on: str) -> None:
-    """Fail unless the condition has an equality that Spark can join by.
+def _equalities(source: DataFrame, candidates: DataFrame, names: Aliases, on: str) -> list:
+    """The sides (source, target) of the equalities that the condition demands, as Spark resolved them."""
+    joined = source.alias(names.source).join(candidates.alias(names.target), F.expr(on))
+    join = joined._jdf.queryExecution().analyzed()
+    left, right = join.left().outputSet(), join.right().outputSet()
+
+    def demanded(part) -> list:
+        kind = part.getClass().getSimpleName()
+        if kind == "And":
+            return demanded(part.left()) + demanded(part.right())
+        if kind == "Or":
+            other = demanded(part.right())
+            return [pair for pair in demanded(part.left()) if any(
+                pair[0].semanticEquals(o[0]) and pair[1].semanticEquals(o[1]) for o in other)]
+        if kind not in ("EqualTo", "EqualNullSafe"):
+            return []
+        return [
+            (one, two)
+            for one, two in ((part.left(), part.right()), (part.right(), part.left()))
+            if not (one.references().isEmpty() or two.references().isEmpty())
+            and one.references().subsetOf(left) and two.references().subsetOf(right)
+        ]
+
+    return demanded(join.condition().get())
 
-    Spark is asked how it would join one empty row of either side.
-    """
-    def row(df: DataFrame) -> DataFrame:
-        fields = [T.StructField(f.name, f.dataType, True) for f in df.schema.fields]
-        return df.sparkSession.createDataFrame([(None,) * len(fields)], T.StructType(fields))
-
-    joined = row(source).alias(names.source).join(row(candidates).alias(names.target), F.expr(on))
-    conf = source.sparkSession.conf
-    excluded = conf.get(EXCLUDED, None)
-    conf.set(EXCLUDED, ",".join(filter(None, [excluded, *FOLDING])))
-    try:
-        with redirect_stdout(io.StringIO()) as plan:
-            joined.explain()
-    finally:
-        conf.unset(EXCLUDED) if excluded is None else conf.set(EXCLUDED, excluded)
-    if "NestedLoopJoin" in plan.getvalue() or "CartesianProduct" in plan.getvalue():
+
+def check_equality(source: DataFrame, candidates: DataFrame, names: Aliases, on: str) -> None:
+    """Fail unless the condition demands an equality between the sides, by which Spark can join."""
+    if not _equalities(source, candidates, names, on):
         raise ValueError(f"the merge condition has no equality between the two sides: {on}")
 
 
+def equal_columns(
+    source: DataFrame, candidates: DataFrame, names: Aliases, on: str
+) -> set[tuple[str, str]]:
+    """Pairs of a source and a target column of one type that the condition demands to be equal."""
+    return {
+        (one.name(), two.name()) for one, two in _equalities(source, candidates, names, on)
+        if one.getClass().getSimpleName() == two.getClass().getSimpleName() == "AttributeReference"
+        and one.dataType().equals(two.dataType())
+    }
+
+
 def _join(
     source: DataFrame, candidates: DataFrame, names: Aliases, on: str, how: str
 ) -> DataFrame:

@@ -24,11 +24,13 @@ class Enrichment:
         """Overwrite the target with ``transform`` of the source's new rows.
 
         The consumed instant is committed together with the data. Without new commits nothing
-        is written and ``None`` returned.
+        is written and ``None`` returned. Another writer of the target that commits meanwhile makes this
+        one fail.
         """
-        consumed = self.target.offsets(app)
+        head = self.target.head()
+        consumed = head.offsets.get(app, {}) if head else {}
         begin = consumed.get(self.source.spec.name, BEGINNING)
-        commits = self.source.timeline(begin)
+        commits = self.source.timeline(begin, to_base=False)
         if commits is None:
             raise ValueError(f"source table {self.source.spec.name} does not exist")
         end = commits.last_change
@@ -36,5 +38,6 @@ class Enrichment:
             return None
         new = drop_meta(self.source.changes(commits, begin, end))
         return self.target.overwrite(
-            transform(new), offsets={**consumed, self.source.spec.name: end}, app=app, **kwargs
+            transform(new), offsets={**consumed, self.source.spec.name: end}, app=app,
+            after=head, **kwargs
         )

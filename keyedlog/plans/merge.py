@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge_join import (
-    INSERTED, UPDATED, Aliases, insert_projection, matched_rows, merged_rows, unmatched_rows,
-    update_projection,
+    INSERTED, UPDATED, Aliases, equal_columns, insert_projection, matched_rows, merged_rows,
+    unmatched_rows, update_projection,
 )
 from ..operators.rows import column, distinct_keys, drop_meta
 from ..sources.commits import Timeline
@@ -178,7 +178,7 @@ class Merge:
         timeline = self.target.timeline()
         consumed = {} if timeline is None else timeline.offsets.get(app, {})
         begin = consumed.get(self.source.spec.name, BEGINNING)
-        commits = self.source.timeline(begin)
+        commits = self.source.timeline(begin, to_base=False)
         if commits is None:
             raise ValueError(f"source table {self.source.spec.name} does not exist")
         end = commits.last_change
@@ -197,9 +197,22 @@ class Merge:
         candidates = None
         if timeline is not None:
             source = hold(source) if self.sql is not None else source
-            candidates = drop_meta(self.target.candidates(timeline, hold(self._keys(source))))
+            candidates = drop_meta(self.target.candidates(
+                timeline, hold(self._keys(source)),
+                joined_by_identity=self._joined_by_identity(source, timeline)))
         return _Inputs(source, candidates, timeline, end)
 
+    def _joined_by_identity(self, source: DataFrame, timeline: Timeline) -> bool:
+        """Whether the condition itself demands equal keys and, where there are any, partitions."""
+        spec = self.target.spec
+        wanted = {(self.key or self.source.spec.key, spec.key): self.key_fn}
+        if spec.partition:
+            wanted[self.partition or self.source.spec.partition, spec.partition] = self.partition_fn
+        if any(wanted.values()):
+            return False
+        target = self.spark.createDataFrame([], timeline.schema)
+        return set(wanted) <= equal_columns(source, target, self._names, self.on)
+
     def _update(self, schema: T.StructType) -> dict[str, Column]:
         return update_projection(schema, self.target_alias, self.update)
 

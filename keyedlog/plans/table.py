@@ -61,26 +61,31 @@ class KeyedTable:
 
     # ---- metadata -------------------------------------------------------------------
 
-    def timeline(self, begin: str | None = None) -> Timeline | None:
+    def timeline(self, begin: str | None = None, to_base: bool = True) -> Timeline | None:
         """The commits since the last full batch, or ``None`` if the table does not exist.
 
-        With ``begin``, all commits after that instant are among them. ``commits`` has all.
+        With ``begin``, all commits after that instant are among them. ``commits`` has all. Without
+        ``to_base`` only these and the last are read.
         """
-        timeline = read_timeline(self.spark, self.spec.commits_path, begin)
+        timeline = read_timeline(self.spark, self.spec.commits_path, begin, to_base)
         for field in ("key", "partition") if timeline else ():
             stored, given = timeline.spec.get(field), getattr(self.spec, field)
             if stored != given:
                 raise ValueError(f"the {field} of {self.spec.path} is {stored}, not {given}")
         return timeline
 
-    def _existing(self, begin: str | None = None) -> Timeline:
-        timeline = self.timeline(begin)
+    def head(self) -> Timeline | None:
+        """What the last commit says: schema, offsets, where the next one goes. One record is read."""
+        return self.timeline(to_base=False)
+
+    def _existing(self, begin: str | None = None, to_base: bool = True) -> Timeline:
+        timeline = self.timeline(begin, to_base)
         if timeline is None:
             raise ValueError(f"table {self.spec.name} does not exist at {self.spec.path}")
         return timeline
 
     def exists(self) -> bool:
-        return self.timeline() is not None
+        return self.head() is not None
 
     def commits(self) -> DataFrame:
         """The commit log: instant, kind, spec, schema, meta, offsets and row counts."""
@@ -91,15 +96,15 @@ class KeyedTable:
 
     def last_instant(self) -> str:
         """Instant of the last commit; an error if the table does not exist."""
-        return self._existing().last_instant
+        return self._existing(to_base=False).last_instant
 
     def schema(self) -> T.StructType:
         """User columns as of the last commit; an error if the table does not exist."""
-        return self._existing().schema
+        return self._existing(to_base=False).schema
 
     def offsets(self, app: str = "default") -> dict[str, str]:
         """Last consumed instant per source, as committed under ``app``; empty without a table."""
-        timeline = self.timeline()
+        timeline = self.head()
         return {} if timeline is None else dict(timeline.offsets.get(app, {}))
 
     def check_schema(self, df: DataFrame) -> None:
@@ -194,7 +199,7 @@ class KeyedTable:
         Rows deleted in the range do not appear. ``begin == end`` gives an empty DataFrame.
         Only the batches of the range are listed and read.
         """
-        return self.changes(self._existing(begin), begin, end)
+        return self.changes(self._existing(begin, to_base=False), begin, end)
 
     def changes(self, timeline: Timeline, begin: str, end: str) -> DataFrame:
         """``incremental`` for a timeline already read, back to ``begin``."""
@@ -255,9 +260,15 @@ class KeyedTable:
         return self._current(timeline, keep, places if self.spec.partition else None)
 
     def candidates(
-        self, timeline: Timeline, pairs: DataFrame, literal_keys: int | None = None
+        self, timeline: Timeline, pairs: DataFrame, literal_keys: int | None = None,
+        joined_by_identity: bool = False,
     ) -> DataFrame:
-        """Rows whose identity is among distinct ``pairs``, which are evaluated twice."""
+        """Rows whose identity is among distinct ``pairs``, which are evaluated twice.
+
+        With ``joined_by_identity`` the caller's join compares key and partition itself. Then pairs beyond
+        the broadcast limit only choose partitions here: the join does the rest, and its shuffle is the
+        only one of the table.
+        """
         size, places, listed = self._measure_keys(pairs)
         if size.rows <= (LITERAL_KEYS if literal_keys is None else literal_keys):
             few = {(r[RECORD_KEY], r[PARTITION_PATH]) for r in pairs.collect()}
@@ -270,6 +281,8 @@ class KeyedTable:
             elif listed is not None:
                 # A broadcast list of partitions prunes folders while the query runs.
                 rows = rows.join(listed, PARTITION_PATH, "left_semi").select(rows.columns)
+            if joined_by_identity and not size.broadcastable:
+                return rows
             return semi_join(rows, wanted)
 
         return self._current(timeline, keep, places)
@@ -318,7 +331,7 @@ class KeyedTable:
 
     def delete(self, keys: DataFrame, **kwargs) -> Commit:
         """Remove the rows whose key and partition fields appear in ``keys``."""
-        timeline = self._existing()
+        timeline = self._existing(to_base=False)
         partition = column(self.spec.partition) if self.spec.partition else None
         tombstones = keys.select(
             record_key(column(self.spec.key)).alias(RECORD_KEY),
@@ -360,10 +373,10 @@ class KeyedTable:
         """Write rows with unique identities as a new batch, then the record that reveals it."""
         if kind == "overwrite":
             # Only the last instant matters: rows, schema, offsets and layout all start anew.
-            timeline = read_timeline(self.spark, self.spec.commits_path)
+            timeline = after or read_timeline(self.spark, self.spec.commits_path, to_base=False)
             stored, carried = None, {}
         else:
-            timeline = after or self.timeline()
+            timeline = after or self.head()
             stored = timeline.schema if timeline else None
             carried = dict(timeline.offsets) if timeline else {}
         schema = stored if incoming is None else evolved_schema(incoming, stored)

@@ -4,7 +4,8 @@ A record is written after its data, so a batch without a record is invisible and
 write leaves nothing to undo. Records are numbered, and a writer takes the number after the last
 record it has read: of two writers that started from the same state the second fails. Offsets, the
 number of the last full batch and the instant of the last change are carried forward from record to
-record, so readers need the last record and those back to that batch only, however long the log.
+record, so writers need the last record only, incremental readers those back to their beginning, and
+others those back to that batch.
 """
 
 from __future__ import annotations
@@ -137,13 +138,14 @@ def _records(spark: SparkSession, commits_path: str, numbers: list[int], *column
 
 
 def read_timeline(
-    spark: SparkSession, commits_path: str, begin: str | None = None
+    spark: SparkSession, commits_path: str, begin: str | None = None, to_base: bool = True
 ) -> Timeline | None:
     """The timeline of a table, or ``None`` where there is no table.
 
-    Reads the last record and those back to the last full batch, and with ``begin`` back to that
-    instant. Only the names of older records reach the driver. A folder without a record is left
-    by a writer that died; its number is not used again.
+    Reads the last record, those back to the last full batch unless ``to_base`` is false, and with
+    ``begin`` those back to that instant. So a writer, or a reader of offsets, reads one record
+    however long the log. Only the names of other records reach the driver. A folder without a
+    record is left by a writer that died; its number is not used again.
     """
     numbers = [int(n) for n in child_names(spark, commits_path) if n.isdigit()]
     found = []
@@ -155,7 +157,7 @@ def read_timeline(
         return None
     last = found[0]
     brief = ("instant", "kind", "rows", "key_bytes", "partitions")
-    low = next(i for i, n in enumerate(numbers) if n >= last["base"])
+    low = next(i for i, n in enumerate(numbers) if n >= last["base"]) if to_base else at
     commits = _records(spark, commits_path, numbers[low:at], *brief) + [last]
     step = len(commits)
     while begin is not None and low > 0 and commits[0]["instant"] > begin:

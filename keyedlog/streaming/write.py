@@ -36,13 +36,15 @@ def upsert_batch(df: DataFrame, spec: TableSpec, batch_id: int, stream: str) ->
     """Upsert one micro-batch unless the table already has it; says whether it was written.
 
     Spark may hand out a batch again after a failure. The batch number is committed together
-    with the rows, so a repeated batch is recognised and skipped.
+    with the rows, so a repeated batch is recognised and skipped. Only the last commit record is read,
+    and another writer that commits meanwhile makes this one fail.
     """
     table = KeyedTable(df.sparkSession, spec)
-    done = table.offsets(STREAM_APP).get(stream)
+    head = table.head()
+    done = head.offsets.get(STREAM_APP, {}).get(stream) if head else None
     if done is not None and batch_id <= int(done):
         return False
-    table.upsert(df, offsets={stream: str(batch_id)}, app=STREAM_APP)
+    table.upsert(df, offsets={stream: str(batch_id)}, app=STREAM_APP, after=head)
     return True
 
 

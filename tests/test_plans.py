@@ -127,3 +127,46 @@ def test_sorted_rules_are_in_order(spark):
 
     starts = [r["start_num"] for r in ip_rules_sorted(spark, "/root/testdata/sf0.001").collect()]
     assert starts == sorted(starts) and len(starts) > 100
+
+
+def test_a_merge_by_identity_shuffles_a_large_target_once(make_table, spark, monkeypatch):
+    """Beyond the broadcast limit the merge join itself finds the candidates."""
+    source, target = make_table("source", partition="p"), make_table("target", partition="p")
+    rows = spark.range(3000).selectExpr("string(id) k", "concat('p', id % 4) p", "id ts", "id v")
+    target.upsert(rows.where("v < 2500"))
+    source.upsert(rows.where("v >= 500"))
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def exchanges(on, **by):
+        merge = Merge.from_table(spark, source.spec, "s").into(target.spec, "t", on=on)
+        for name, field in by.items():
+            getattr(merge, name)(field)
+        found = merge.when_matched({"v": "s.v + t.v"}).updates()
+        assert found.count() == 2000
+        return plan(found).count("Exchange hashpartitioning")
+
+    try:
+        both = "s.k = t.k and t.p = s.p"
+        assert exchanges(both) == 2
+        assert exchanges("s.k = t.k") > 2
+        assert exchanges(f"({both} and s.v > -1) or ({both} and t.v > -1)") == 2
+        assert exchanges("s.k = t.k and (s.p = t.p or s.v = t.v)") > 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_conditions_without_an_equality_are_refused(kept, make_table, spark):
+    table, rows = kept
+    target = make_table("target", partition="p")
+    target.upsert(rows)
+
+    def merge(on):
+        return Merge.from_table(spark, table.spec, "s").into(target.spec, "t", on=on).when_matched({"v": "s.v"})
+
+    for on in ("s.v < t.v", "s.k = '1' and t.k = '1'", "s.k = t.k or s.v = t.v", "s.v + t.v = 4"):
+        with pytest.raises(ValueError, match="no equality"):
+            merge(on).updates()
+    for on in ("s.k = t.k and t.p <> 'CartesianProduct'", "s.v + 1 = t.v", "t.k <=> s.k",
+               "(s.k = t.k and s.v < 9) or (t.k = s.k and s.v > 1)"):
+        assert merge(on).updates().count() > 90

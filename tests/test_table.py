@@ -453,3 +453,53 @@ def test_the_limit_of_literal_keys_is_an_argument(make_table, frame):
     for limit in (0, 1, 2):
         found = table.lookup([("a", None), ("b", None)], literal_keys=limit)
         assert sorted(r["k"] for r in found.collect()) == ["a", "b"]
+
+
+def test_a_long_log_is_not_read_back_to_its_base(make_table, frame, spark, monkeypatch):
+    """Writers, offsets and streams read the last of a thousand records, increments their own range."""
+    import json
+    import pathlib
+
+    from keyedlog.sources import commits
+    from keyedlog.streaming.write import upsert_batch
+
+    t = make_table("long")
+    t.upsert(frame([("a", "x", 1, 1)]))
+    path = pathlib.Path(t.spec.commits_path)
+    record = json.loads(spark.read.text(str(path / "000000000000")).first()[0])
+    for number in range(1, 1000):
+        folder = path / f"{number:012d}"
+        folder.mkdir()
+        (folder / "part-0.txt").write_text(json.dumps(
+            {**record, "number": number, "base": 0, "kind": "delete",
+             "instant": str(int(record["instant"]) + number)}))
+    read = []
+    original = commits._records
+    monkeypatch.setattr(commits, "_records", lambda s, p, numbers, *c: (
+        read.extend(numbers), original(s, p, numbers, *c))[1])
+    assert t.offsets() == {} and read == [999]
+    last = t.last_instant()
+    del read[:]
+    assert upsert_batch(frame([("b", "x", 1, 2)]), t.spec, 0, "stream")
+    assert read == [999]
+    assert not upsert_batch(frame([("b", "x", 1, 2)]), t.spec, 0, "stream")
+    del read[:]
+    found = t.incremental(last, t.last_instant())
+    assert [r["k"] for r in found.collect()] == ["b"]
+    assert set(read) <= {998, 999, 1000}
+
+
+def test_enrichment_and_streams_refuse_a_second_writer(make_table, frame, monkeypatch):
+    from keyedlog.plans.enrich import Enrichment
+
+    source, target = make_table("source"), make_table("enriched")
+    source.upsert(frame([("a", "x", 1, 1)]))
+    target.upsert(frame([("z", "x", 1, 1)]))
+
+    def meanwhile(rows):
+        target.upsert(frame([("y", "x", 1, 1)]))
+        return rows
+
+    with pytest.raises(Exception, match="(?i)already exists"):
+        Enrichment(source, target).execute(meanwhile)
+    assert sorted(r["k"] for r in target.snapshot().collect()) == ["y", "z"]
