@@ -5,6 +5,8 @@ Layout::
     <path>/data/_batch=<instant>/[_partition_path=<p>/]part-*.parquet
     <path>/_commits/<number>/part-*.json
 
+with bucket files instead of partition folders where the spec has buckets.
+
 Every write adds one batch that holds at most one row per identity, then one commit record.
 Readers take the batches named by the commit log, so a half-written batch is never seen and a
 job may read the table it writes to. One writer at a time: the second of two writers that
@@ -13,6 +15,7 @@ started from the same commit fails on the existing record.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence, Set
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..checks import check_schema, evolved_schema
 from ..operators.rows import (
-    column, dedupe, distinct_keys, latest, live, partition_path, reconcile, record_key,
+    column, dedupe, distinct_keys, latest, live, partition_path, quoted, reconcile, record_key,
     semi_join, with_identity,
 )
 from ..operators.sizing import Size, broadcast_within, measure, value_bytes
@@ -68,8 +71,8 @@ class KeyedTable:
         ``to_base`` only these and the last are read.
         """
         timeline = read_timeline(self.spark, self.spec.commits_path, begin, to_base)
-        for field in ("key", "partition") if timeline else ():
-            stored, given = timeline.spec.get(field), getattr(self.spec, field)
+        for field in ("key", "partition", "buckets") if timeline else ():
+            stored, given = timeline.spec.get(field), self.spec.describe()[field]
             if stored != given:
                 raise ValueError(f"the {field} of {self.spec.path} is {stored}, not {given}")
         return timeline
@@ -119,6 +122,8 @@ class KeyedTable:
         The schema is explicit: nothing is inferred or merged from files, a column a batch
         lacks reads as NULL, and instants and partition values stay strings.
         """
+        if self.spec.buckets and commits:
+            return self._read_buckets(commits, schema)
         stored = T.StructType([*schema.fields])
         for name in (RECORD_KEY, OP, COMMIT_TIME, PARTITION_PATH, BATCH):
             stored.add(name, "string")
@@ -140,6 +145,32 @@ class KeyedTable:
             OP,
         )
 
+    def _read_buckets(self, commits: Sequence[Commit], schema: T.StructType) -> DataFrame:
+        """Stored rows of bucketed batches. Spark knows a scan's buckets from a table over its files.
+
+        The tables are only needed to resolve the scans, and are dropped again; the files stay.
+        """
+        stored = T.StructType([*schema.fields])
+        for name in (RECORD_KEY, OP, COMMIT_TIME, PARTITION_PATH):
+            stored.add(name, "string")
+        by = ", ".join(IDENTITY)
+        found = None
+        for commit in commits:
+            name = f"keyedlog_{uuid.uuid4().hex}"
+            place = self.spec.batch_path(commit.instant).replace("'", "\\'")
+            self.spark.sql(
+                f"create table {name} ({_ddl(stored)}) using parquet clustered by ({by}) sorted by ({by}) "
+                f"into {self.spec.buckets} buckets location '{place}'")
+            rows = self.spark.table(name)
+            self.spark.sql(f"drop table {name}")
+            # Only compacted rows carry their own commit time.
+            rows = rows.select(
+                *[column(f.name) for f in schema.fields],
+                F.coalesce(F.col(COMMIT_TIME), F.lit(commit.instant)).alias(COMMIT_TIME),
+                RECORD_KEY, PARTITION_PATH, OP)
+            found = rows if found is None else found.unionByName(rows)
+        return found
+
     def _current(
         self,
         timeline: Timeline,
@@ -184,8 +215,8 @@ class KeyedTable:
         return joined.select(rows.columns)
 
     def _touched(self, commits: Sequence[Commit]) -> list[str] | None:
-        """Partitions the commits wrote to; ``None`` in a table without partitions."""
-        if not self.spec.partition:
+        """Partitions the commits wrote to; ``None`` in a table without partition folders."""
+        if not self.spec.partition or self.spec.buckets:
             return None
         return sorted({p for c in commits for p in c.partitions or ()})
 
@@ -390,15 +421,23 @@ class KeyedTable:
         counts += [value.alias(name) for name, value in (metrics or {}).items()]
         # Observed on top of the last shuffle: a retried map task cannot count twice.
         rows = self._arrange(rows, parallelism).observe(observed, *counts)
-        if self.spec.partition:
+        folders = self.spec.partition and not self.spec.buckets
+        if folders:
             writer = rows.drop(BRANCH).write.partitionBy(PARTITION_PATH)
+        elif self.spec.buckets:
+            writer = rows.drop(BRANCH).write.bucketBy(self.spec.buckets, *IDENTITY).sortBy(*IDENTITY)
         else:
             writer = rows.drop(BRANCH, PARTITION_PATH).write
         writer = writer.mode("errorifexists").options(**{**WRITE_OPTIONS, **(options or {})})
-        writer.parquet(self.spec.batch_path(instant))
+        if self.spec.buckets:
+            name = f"keyedlog_{uuid.uuid4().hex}"
+            writer.option("path", self.spec.batch_path(instant)).saveAsTable(name, format="parquet")
+            self.spark.sql(f"drop table {name}")
+        else:
+            writer.parquet(self.spec.batch_path(instant))
 
         written = None
-        if self.spec.partition:
+        if folders:
             written = partition_values(self.spark, self.spec.batch_path(instant), PARTITION_PATH)
         number = timeline.number + 1 if timeline else 0
         starts_anew = kind in BASE_KINDS or timeline is None
@@ -420,8 +459,11 @@ class KeyedTable:
         """Place rows for writing, ordered by key so that page statistics are selective.
 
         A partitioned table is rebalanced by its partition: each directory gets few files, and
-        adaptive execution splits a partition that holds much of the data over many tasks.
+        adaptive execution splits a partition that holds much of the data over many tasks. A bucketed
+        table has one task and one file a bucket, whatever ``parallelism`` says.
         """
+        if self.spec.buckets:
+            return rows.repartition(self.spec.buckets, *IDENTITY).sortWithinPartitions(*IDENTITY)
         if parallelism:
             rows = rows.repartition(parallelism, *IDENTITY)
         elif self.spec.partition:
@@ -430,5 +472,9 @@ class KeyedTable:
         return rows.sortWithinPartitions(*order)
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def _compacted(commits: Sequence[Commit]) -> bool:
     return any(c.kind == "compact" for c in commits)

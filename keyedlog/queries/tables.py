@@ -61,6 +61,19 @@ def write_upsert(spark, sf_dir):
     return drop_meta(kept.snapshot())
 
 
+def snapshot_buckets(spark, sf_dir):
+    """All orders in buckets, most of them written again at a higher price, and some deleted."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+    spec = TableSpec(
+        "orders", scratch_path(spark, "buckets"), "o_orderkey", "o_orderdate", "o_orderstatus", buckets=16)
+    kept = KeyedTable(spark, spec)
+    kept.upsert(orders)
+    kept.upsert(orders.where("o_custkey % 7 > 0").withColumn("o_totalprice", F.col("o_totalprice") + 1000))
+    kept.delete(orders.where("o_custkey % 7 = 3"))
+    return drop_meta(KeyedTable.open(spark, spec.path).snapshot()).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
 def precombine_dedupe(spark, sf_dir):
     """The latest trip of every driver."""
     spec = TableSpec("driver", "-", "driver", "ts")
@@ -267,6 +280,7 @@ QUERIES = {
     "snapshot_read": snapshot_read,
     "write_overwrite": write_overwrite,
     "write_upsert": write_upsert,
+    "snapshot_buckets": snapshot_buckets,
     "precombine_dedupe": precombine_dedupe,
     "nonpartitioned_upsert": nonpartitioned_upsert,
     "partitioned_read": partitioned_read,
@@ -319,6 +333,9 @@ select uuid, ts, driver, rider, partitionpath,
   cast(case when first_half and partitionpath = 'error' then fare * 2 else fare end as double) as fare
 from trips""",
     "write_overwrite": f"with {SQL_TRIPS} select {_TRIPS} from trips where not first_half",
+    "snapshot_buckets": """select o_orderkey, o_custkey, o_orderstatus,
+  cast(o_totalprice as double) + case when o_custkey % 7 > 0 then 1000 else 0 end as o_totalprice
+from orders where o_custkey % 7 <> 3""",
     "write_upsert": """select o_orderkey, o_custkey,
   case when o_orderstatus = 'O' then 'F' else o_orderstatus end as o_orderstatus,
   case when o_orderstatus = 'O' then o_totalprice + 1.0::double else o_totalprice end as o_totalprice,

@@ -42,6 +42,10 @@ class TableSpec:
 
     ``partition`` is ``None`` for a table without partitions; the identity of a row is then
     its key alone. ``path`` may be any path Spark can read and write.
+
+    With ``buckets``, batches are written in that many Spark buckets by identity instead of
+    partition folders, so that versions of large batches are compared bucket by bucket, without a shuffle of
+    what is stored. Take at least as many as there are shuffle partitions, and enough for a bucket to fit a task.
     """
 
     name: str
@@ -49,6 +53,7 @@ class TableSpec:
     key: str
     precombine: str
     partition: str | None = None
+    buckets: int | None = None
 
     def __post_init__(self) -> None:
         for field in ("name", "path", "key", "precombine"):
@@ -57,6 +62,10 @@ class TableSpec:
         if self.partition == "":
             object.__setattr__(self, "partition", None)
         object.__setattr__(self, "path", self.path.rstrip("/"))
+        if self.buckets is not None:
+            object.__setattr__(self, "buckets", int(self.buckets))
+            if self.buckets < 1:
+                raise ValueError("TableSpec.buckets must be positive")
 
     @property
     def data_path(self) -> str:
@@ -73,7 +82,7 @@ class TableSpec:
         """The fields stored in each commit record (the path is where the record lies)."""
         fields = asdict(self)
         del fields["path"]
-        return fields
+        return {name: value and str(value) for name, value in fields.items()}
 
     @classmethod
     def open(cls, spark, path: str) -> "TableSpec":

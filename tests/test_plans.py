@@ -170,3 +170,37 @@ def test_conditions_without_an_equality_are_refused(kept, make_table, spark):
     for on in ("s.k = t.k and t.p <> 'CartesianProduct'", "s.v + 1 = t.v", "t.k <=> s.k",
                "(s.k = t.k and s.v < 9) or (t.k = s.k and s.v > 1)"):
         assert merge(on).updates().count() > 90
+
+
+@pytest.mark.parametrize("partition", [None, "p"])
+def test_large_changes_of_a_bucketed_table_shuffle_nothing_stored(spark, tmp_path, monkeypatch, partition):
+    from keyedlog import KeyedTable, TableSpec
+
+    spec = TableSpec("b", str(tmp_path / "b's"), "k", "ts", partition, buckets=8)
+    table = KeyedTable(spark, spec)
+    rows = spark.range(2000).selectExpr("string(id) k", "concat('p', id % 4) p", "id ts", "id v")
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table.upsert(rows)
+        table.upsert(rows.where("v < 1500").withColumn("v", F.col("v") + 5000).withColumn("new", F.lit("n")))
+        found = table.snapshot()
+        assert "Exchange" not in plan(found) and "SortMergeJoin" in plan(found)
+        assert "Bucketed: true" in plan(found)
+        table.delete(rows.where("v % 2 = 0"))
+        found = KeyedTable.open(spark, spec.path).snapshot()
+        expected = {str(i): (i + 5000, "n") if i < 1500 else (i, None) for i in range(1, 2000, 2)}
+        assert {r["k"]: (r["v"], r["new"]) for r in found.collect()} == expected
+        base = plan(found).split("LeftAnti")[1]
+        assert base.index("Exchange") > base.index("FileScan") if "Exchange" in base else True
+        looked = table.lookup([("7", "p3"), ("8", "p0"), ("9", "p1")])
+        assert sorted(r["k"] for r in looked.collect()) == ["7", "9"]
+        before = table.last_instant()
+        table.compact()
+        assert table.snapshot().count() == 1000 and plan(table.snapshot()).count("Exchange") == 0
+        assert table.incremental(before, table.last_instant()).count() == 0
+        assert [t.name for t in spark.catalog.listTables() if t.name.startswith("keyedlog_")] == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError, match="the buckets of"):
+        KeyedTable(spark, TableSpec("b", spec.path, "k", "ts", partition)).snapshot()
