@@ -119,11 +119,13 @@ def semi_join(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.join(keys, list(IDENTITY), "left_semi").select(rows.columns)
 
 
+def key_pairs(df: DataFrame, key: Column, partition: Column | None) -> DataFrame:
+    """The (record key, partition path) pair of every row; NULL or empty keys can match no row."""
+    text = key.cast("string")
+    return df.select(text.alias(RECORD_KEY), partition_path(partition).alias(PARTITION_PATH)).where(
+        F.col(RECORD_KEY).isNotNull() & (F.col(RECORD_KEY) != ""))
+
+
 def distinct_keys(df: DataFrame, key: Column, partition: Column | None) -> DataFrame:
     """Distinct (record key, partition path) pairs; NULL or empty keys can match no row."""
-    text = key.cast("string")
-    return (
-        df.select(text.alias(RECORD_KEY), partition_path(partition).alias(PARTITION_PATH))
-        .where(F.col(RECORD_KEY).isNotNull() & (F.col(RECORD_KEY) != ""))
-        .distinct()
-    )
+    return key_pairs(df, key, partition).distinct()

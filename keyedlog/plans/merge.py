@@ -30,7 +30,7 @@ from ..operators.merge_join import (
     INSERTED, UPDATED, Aliases, equal_columns, insert_projection, matched_rows, merged_rows,
     unmatched_rows, update_projection,
 )
-from ..operators.rows import column, distinct_keys, drop_meta
+from ..operators.rows import column, drop_meta, key_pairs
 from ..sources.commits import Timeline
 from ..spec import BEGINNING, BRANCH, NO_PARTITION, TableSpec
 from .table import KeyedTable
@@ -163,11 +163,11 @@ class Merge:
         if self.key_fn:
             key = self.key_fn(key.cast("string"))
         if not self.target.spec.partition:
-            return distinct_keys(source, key, None)
+            return key_pairs(source, key, None)
         partition = column(self.partition or self.source.spec.partition)
         if self.partition_fn:
             partition = self.partition_fn(partition.cast("string"))
-        return distinct_keys(source, key, partition)
+        return key_pairs(source, key, partition)
 
     def _inputs(self, app: str, held: ExitStack | None = None) -> "_Inputs | None":
         """Everything up to the final join, or ``None`` if the source has no new commit.

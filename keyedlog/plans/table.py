@@ -24,10 +24,10 @@ from pyspark.sql import types as T
 
 from ..checks import check_schema, evolved_schema
 from ..operators.rows import (
-    column, dedupe, distinct_keys, latest, live, partition_path, quoted, reconcile, record_key,
+    column, dedupe, key_pairs, latest, live, partition_path, quoted, reconcile, record_key,
     semi_join, with_identity,
 )
-from ..operators.sizing import Size, broadcast_within, measure, value_bytes
+from ..operators.sizing import BROADCAST_ROWS, Size, broadcast_within, measure, value_bytes
 from ..sources.commits import (
     BASE_KINDS, Commit, CommitRecord, Timeline, next_instant, read_commits, read_timeline,
 )
@@ -265,7 +265,7 @@ class KeyedTable:
                 return self._literal_lookup(timeline, pairs)
             keys = self.spark.createDataFrame(sorted(pairs), KEYS_SCHEMA)
         partition = column(keys.columns[1]) if self.spec.partition else None
-        pairs = distinct_keys(keys, column(keys.columns[0]), partition)
+        pairs = key_pairs(keys, column(keys.columns[0]), partition)
         return self.candidates(timeline, pairs, most)
 
     def _pair(self, key: str | tuple[str, str | None]) -> tuple[str, str]:
@@ -294,16 +294,32 @@ class KeyedTable:
         self, timeline: Timeline, pairs: DataFrame, literal_keys: int | None = None,
         joined_by_identity: bool = False,
     ) -> DataFrame:
-        """Rows whose identity is among distinct ``pairs``, which are evaluated twice.
+        """Rows whose identity is among ``pairs``, which may repeat and are evaluated two or three times.
+
+        One pass without a shuffle sizes them: rows, bytes, and about how many different pairs and
+        partitions. They are made distinct only where that turns a set too large to broadcast, or to
+        be literals, into one that is not; a semi join needs no distinct pairs.
 
         With ``joined_by_identity`` the caller's join compares key and partition itself. Then pairs beyond
         the broadcast limit only choose partitions here: the join does the rest, and its shuffle is the
         only one of the table.
         """
-        size, places, listed = self._measure_keys(pairs)
-        if size.rows <= (LITERAL_KEYS if literal_keys is None else literal_keys):
-            few = {(r[RECORD_KEY], r[PARTITION_PATH]) for r in pairs.collect()}
-            return self._literal_lookup(timeline, few)
+        most = LITERAL_KEYS if literal_keys is None else literal_keys
+        found = pairs.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(value_bytes(pairs)).alias("bytes"),
+            F.approx_count_distinct(F.struct(*IDENTITY)).alias("pairs"),
+            F.approx_count_distinct(PARTITION_PATH).alias("places"),
+        ).first()
+        size = Size(found["rows"], found["bytes"] or 0)
+        if found["pairs"] <= _with_error(most):
+            few = pairs.distinct().limit(most + 1).collect()
+            if len(few) <= most:
+                return self._literal_lookup(timeline, {(r[RECORD_KEY], r[PARTITION_PATH]) for r in few})
+        if not size.broadcastable and found["pairs"] <= BROADCAST_ROWS:
+            pairs = pairs.distinct()
+            size = measure(pairs)
+        places, listed = self._key_places(pairs, found["places"])
         wanted = broadcast_within(pairs, size)
 
         def keep(rows: DataFrame) -> DataFrame:
@@ -318,27 +334,16 @@ class KeyedTable:
 
         return self._current(timeline, keep, places)
 
-    def _measure_keys(self, pairs: DataFrame) -> tuple[Size, set[str] | None, DataFrame | None]:
-        """Size of a key set and its partitions: a set if few, else a table if it can be broadcast.
-
-        Mostly in one job.
-        """
+    def _key_places(self, pairs: DataFrame, about: int) -> tuple[set[str] | None, DataFrame | None]:
+        """The partitions of a key set: a set if few, else a table if it can be broadcast."""
         if not self.spec.partition:
-            return measure(pairs), None, None
-        by_place = pairs.groupBy(PARTITION_PATH).agg(
-            F.count(F.lit(1)).alias("rows"), F.sum(value_bytes(pairs)).alias("bytes")
-        )
-        some = by_place.limit(LITERAL_PARTITIONS + 1).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("rows").alias("rows"),
-            F.sum("bytes").alias("bytes"),
-            F.collect_list(PARTITION_PATH).alias("places"),
-        ).first()
-        if some["n"] <= LITERAL_PARTITIONS:
-            return Size(some["rows"] or 0, some["bytes"] or 0), set(some["places"]), None
-        names = measure(by_place.select(PARTITION_PATH))
-        listed = by_place.select(PARTITION_PATH)
-        return measure(pairs), None, F.broadcast(listed) if names.broadcastable else None
+            return None, None
+        names = pairs.select(PARTITION_PATH).distinct()
+        if about <= _with_error(LITERAL_PARTITIONS):
+            some = {r[0] for r in names.limit(LITERAL_PARTITIONS + 1).collect()}
+            if len(some) <= LITERAL_PARTITIONS:
+                return some, None
+        return None, F.broadcast(names) if measure(names).broadcastable else None
 
     # ---- writes ---------------------------------------------------------------------
 
@@ -472,6 +477,11 @@ class KeyedTable:
         return rows.sortWithinPartitions(*order)
 
 
+def _with_error(most: int) -> float:
+    """An estimate of distinct values that may still stand for ``most``."""
+    return 1.2 * most + 2
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
 

@@ -204,3 +204,28 @@ def test_large_changes_of_a_bucketed_table_shuffle_nothing_stored(spark, tmp_pat
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(ValueError, match="the buckets of"):
         KeyedTable(spark, TableSpec("b", spec.path, "k", "ts", partition)).snapshot()
+
+
+def test_large_key_sets_are_shuffled_once_and_not_made_distinct(kept, spark, monkeypatch):
+    table, rows = kept
+    keys = spark.range(6000).selectExpr("string(id % 3000) k", "concat('p', id % 4) p")
+    expected = {str(i) for i in range(100)}
+    small = table.lookup(keys)
+    assert "Exchange hashpartitioning" not in plan(small) and "BroadcastHashJoin" in plan(small)
+    assert {r["k"] for r in small.collect()} == expected
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr("keyedlog.plans.table.BROADCAST_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = table.lookup(keys)
+        assert plan(large).count("Exchange hashpartitioning") == 2 and "HashAggregate" not in plan(large)
+        assert {r["k"] for r in large.collect()} == expected and large.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_few_keys_in_many_rows_become_filters(kept, spark):
+    table, _ = kept
+    keys = spark.range(5000).selectExpr("string(id % 3) k", "concat('p', id % 3) p")
+    found = table.lookup(keys)
+    assert " IN (0,1,2)" in plan(found) and found.count() == 3
