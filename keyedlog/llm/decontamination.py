@@ -41,11 +41,22 @@ BITS = 64
 RADIUS = 24
 BLOCKS = 13
 SLAB_BYTES = 8 << 20
+#: Shingles of windows that are fingerprinted at a time, each taking 256 bytes meanwhile.
+BLOCK_SHINGLES = 1 << 18
 
 _EDGES = np.linspace(0, BITS, BLOCKS + 1).astype(int)
 SCHEMA = "doc_id bigint, item_id bigint, similarity double, first_word bigint, words bigint"
 
 
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among known ones, which are sorted."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    places = np.searchsorted(known, values)
+    places[places == len(known)] = 0
+    return known[places] == values
+
+
 def simhash(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Fingerprints of the multisets of hashes between bounds."""
     bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -109,7 +120,7 @@ def _matches(hashes: np.ndarray, places: np.ndarray, n_words: int, index: Index)
     ``places`` are those of shingles that some item of any length has.
     """
     full = max(index.words - SHINGLE_WORDS + 1, 1)
-    own = places[np.isin(hashes[places], index.known)]
+    own = places[among(hashes[places], index.known)]
     if 100 * len(own) < PERCENT * full:
         return
     hits = np.zeros(len(hashes), dtype=bool)
@@ -124,17 +135,19 @@ def _matches(hashes: np.ndarray, places: np.ndarray, n_words: int, index: Index)
     starts = starts[100 * held >= PERCENT * full]
     if not len(starts):
         return
-    windows = _window_sets(hashes, starts, size)
-    prints = simhash(np.ascontiguousarray(windows).ravel(),
-                     np.arange(len(starts) + 1) * size)
-    for start, window, fingerprint in zip(starts, windows, prints):
-        near = index.candidates(fingerprint)
-        if near:
-            weighted = Counter(window.tolist())
-            for item in near:
-                value = similarity(weighted, index.sets[item])
-                if 100 * value >= PERCENT:
-                    yield index.ids[item], value, int(start)
+    step = max(1, BLOCK_SHINGLES // size)
+    for at in range(0, len(starts), step):
+        some = starts[at:at + step]
+        windows = _window_sets(hashes, some, size)
+        prints = simhash(np.ascontiguousarray(windows).ravel(), np.arange(len(some) + 1) * size)
+        for start, window, fingerprint in zip(some, windows, prints):
+            near = index.candidates(fingerprint)
+            if near:
+                weighted = Counter(window.tolist())
+                for item in near:
+                    value = similarity(weighted, index.sets[item])
+                    if 100 * value >= PERCENT:
+                        yield index.ids[item], value, int(start)
 
 
 def _build(rows) -> tuple[np.ndarray, list[Index]]:
@@ -170,7 +183,7 @@ def _scan(shared):
                     hashes = shingles(words[low:high])
                     hits = marks[(mix(hashes) >> width).astype(np.int64)]
                     if hits.any():
-                        hits[hits] = np.isin(hashes[hits], known)
+                        hits[hits] = among(hashes[hits], known)
                     if not hits.any():
                         continue
                     places = np.flatnonzero(hits)

@@ -318,3 +318,29 @@ def test_pipeline_stages(spark):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd.where("false"), sf_dir).collect() == [], name
         stage(spark, odd, sf_dir).collect()
+
+
+def test_ranks_beyond_two_to_the_sixteenth():
+    """The bitmap is as wide as the ranks: the same pieces whatever is added to every rank."""
+    ranks = byte_bpe.read_ranks(VOCABULARY)
+    far = {token: rank + 70_000 for token, rank in ranks.items()}
+    rng = random.Random(4)
+    for _ in range(300):
+        piece = bytes(rng.choices(b"abcdehilnorst \xc3\xa9", k=rng.randrange(1, 40)))
+        assert byte_bpe.merge(piece, far) == [rank + 70_000 for rank in byte_bpe.merge(piece, ranks)]
+
+
+def test_a_repetitive_document_is_fingerprinted_in_blocks(monkeypatch):
+    """Blocks of windows give what all windows at once give, and known hashes are found exactly."""
+    rng = np.random.default_rng(0)
+    item = rng.integers(0, 1 << 60, 196, dtype=np.uint64)
+    text = np.tile(item, 40)
+    index = decontamination.Index(200, [(1, item)])
+    places = np.arange(len(text))
+    whole = list(decontamination._matches(text, places, len(text) + 4, index))
+    monkeypatch.setattr(decontamination, "BLOCK_SHINGLES", 1000)
+    assert list(decontamination._matches(text, places, len(text) + 4, index)) == whole and whole
+    known = np.unique(rng.integers(0, 50, 30, dtype=np.uint64))
+    values = np.arange(60, dtype=np.uint64)
+    assert decontamination.among(values, known).tolist() == np.isin(values, known).tolist()
+    assert not decontamination.among(values, known[:0]).any()
