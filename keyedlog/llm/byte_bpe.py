@@ -6,8 +6,8 @@ upper level names a group of ranks, the lowest set bit of the group the next ran
 positions leave from the left. An entry whose pair has changed meanwhile is stale and is skipped. A
 merge makes at most two new entries, so a pre-token of n bytes takes O(n log n) steps.
 
-Ranks come from a file of public ranks, at most 2^16 of them; they are read once by the driver, and
-their number is that of the file. Pre-tokens are remembered per process up to a number; what was forgotten is computed
+Ranks come from a file of public ranks, of any number; they are read once by the driver, and the
+upper level of the bitmap is as wide as the largest rank asks for. Pre-tokens are remembered per process up to a number; what was forgotten is computed
 again.
 
 Null and empty texts have no ids and decode to nothing. Rows are independent of each other: repeated
@@ -21,6 +21,7 @@ import hashlib
 import sys
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 GROUP_BITS = 8
 LOW = (1 << GROUP_BITS) - 1
-BITS = [1 << k for k in range(1 << 16 - GROUP_BITS)]
 
 #: White space as Unicode's property has it; ``\s`` of the regex library also matches 0x1C-0x1F.
 SPACES = r"\t-\r " + "".join(
@@ -56,11 +56,13 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token.
 
     The queue lives in local variables, as most pre-tokens are short: ``groups`` is the upper level
-    of the bitmap, ``members`` the lower one, and ``buckets`` holds the positions of each rank.
+    of the bitmap, ``members`` the lower one, and ``buckets`` holds the pairs of each rank, as
+    start * (n + 1) + end. A pair whose two symbols no longer have this start and end is stale.
     """
     if piece in ranks:
         return [ranks[piece]]
     n, find = len(piece), ranks.get
+    wide = n + 1
     end = list(range(1, n + 1))  # of the symbol that begins here; 0 once it is swallowed
     before = list(range(-1, n - 1))
     groups, members, buckets = 0, {}, {}
@@ -68,45 +70,50 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         rank = find(piece[i:i + 2])
         if rank is not None:
             if rank in buckets:
-                buckets[rank].append(i)
+                buckets[rank].append(i * wide + i + 2)
             else:
-                buckets[rank] = [i]
+                buckets[rank] = [i * wide + i + 2]
                 group = rank >> GROUP_BITS
-                groups |= BITS[group]
-                members[group] = members.get(group, 0) | BITS[rank & LOW]
+                groups |= 1 << group
+                members[group] = members.get(group, 0) | 1 << (rank & LOW)
     while groups:
         group = (groups & -groups).bit_length() - 1
         held = members[group]
         rank = group << GROUP_BITS | (held & -held).bit_length() - 1
         bucket = buckets[rank]
-        i = heappop(bucket)
+        i, stop = divmod(heappop(bucket) if len(bucket) > 1 else bucket.pop(), wide)
         if not bucket:
             del buckets[rank]
             members[group] = held = held & (held - 1)
             if not held:
                 groups &= groups - 1
         middle = end[i]
-        if not middle or middle >= n:
-            continue
-        stop = end[middle]
-        if find(piece[i:stop]) != rank:
+        if not middle or middle >= n or end[middle] != stop:
             continue
         end[i], end[middle] = stop, 0
         if stop < n:
             before[stop] = i
-            pairs = ((i, end[stop]), (before[i], stop)) if i else ((i, end[stop]),)
-        else:
-            pairs = ((before[i], stop),) if i else ()
-        for start, finish in pairs:
-            rank = find(piece[start:finish])
+            finish = end[stop]
+            rank = find(piece[i:finish])
+            if rank is not None:
+                if rank in buckets:
+                    heappush(buckets[rank], i * wide + finish)
+                else:
+                    buckets[rank] = [i * wide + finish]
+                    group = rank >> GROUP_BITS
+                    groups |= 1 << group
+                    members[group] = members.get(group, 0) | 1 << (rank & LOW)
+        if i:
+            start = before[i]
+            rank = find(piece[start:stop])
             if rank is not None:
                 if rank in buckets:
-                    heappush(buckets[rank], start)
+                    heappush(buckets[rank], start * wide + stop)
                 else:
-                    buckets[rank] = [start]
+                    buckets[rank] = [start * wide + stop]
                     group = rank >> GROUP_BITS
-                    groups |= BITS[group]
-                    members[group] = members.get(group, 0) | BITS[rank & LOW]
+                    groups |= 1 << group
+                    members[group] = members.get(group, 0) | 1 << (rank & LOW)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i:end[i]]])
@@ -130,7 +137,8 @@ class Codec(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = np.array(merge(piece.encode(), self.ranks), dtype="<u4").tobytes()
+            ids = merge(piece.encode(), self.ranks)
+            ids = pack(f"<{len(ids)}I", *ids)
         if len(piece) < 64:
             if 2 * len(self) >= self.remembered:
                 self.older = dict(self)
