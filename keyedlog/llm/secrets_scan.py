@@ -103,6 +103,29 @@ def _candidates(runs: list[tuple[int, int]], ends: list[int], low: int, high: in
         yield start, end
 
 
+class Spans:
+    """Parts of a text that are taken: apart from each other and in order."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.ends = [], []
+        for start, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(end, self.ends[-1])
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def overlap(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end) - 1
+        return before >= 0 and self.ends[before] > start
+
+    def take(self, start: int, end: int) -> None:
+        """Add a span that overlaps none."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+
 def findings(text: str | None) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, novelty) by start and then kind; base findings have no novelty."""
     if not text:
@@ -110,7 +133,7 @@ def findings(text: str | None) -> list[tuple[str, int, int, float | None]]:
     lowered = text.lower()
     found: list = [(*f, None) for f in _base(text, lowered)]
     if any(hint in lowered for hint in SENSITIVE_HINTS):
-        taken = sorted((start, end) for _, start, end, _ in found)
+        taken = Spans([(start, end) for _, start, end, _ in found])
         measured = set()
         runs = None
         for word in SENSITIVE.finditer(text):
@@ -118,15 +141,14 @@ def findings(text: str | None) -> list[tuple[str, int, int, float | None]]:
                 runs = [m.span() for m in CANDIDATE.finditer(text)]
                 ends = [end for _, end in runs]
             for start, end in _candidates(runs, ends, *word.span()):
-                if (start, end) in measured or any(low < end and start < high
-                                                   for low, high in taken):
+                if (start, end) in measured or taken.overlap(start, end):
                     continue
                 measured.add((start, end))
                 around = text[max(0, start - AROUND):start], text[end:end + AROUND]
                 value = novelty(text[start:end], *around)
                 if value >= NOVELTY:
                     found.append(("novel", start, end, value))
-                    taken.append((start, end))
+                    taken.take(start, end)
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0])))
 
 

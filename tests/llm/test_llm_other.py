@@ -344,3 +344,29 @@ def test_a_repetitive_document_is_fingerprinted_in_blocks(monkeypatch):
     values = np.arange(60, dtype=np.uint64)
     assert decontamination.among(values, known).tolist() == np.isin(values, known).tolist()
     assert not decontamination.among(values, known[:0]).any()
+
+
+def test_taken_spans_against_all_of_them():
+    rng = random.Random(6)
+    for _ in range(200):
+        spans = [(s, s + rng.randrange(1, 9)) for s in rng.choices(range(60), k=rng.randrange(8))]
+        taken = secrets_scan.Spans(spans)
+        for _ in range(30):
+            start = rng.randrange(60)
+            end = start + rng.randrange(1, 9)
+            known = any(low < end and start < high for low, high in spans)
+            assert taken.overlap(start, end) is known
+            if not known:
+                spans.append((start, end))
+                taken.take(start, end)
+
+
+def test_a_megabyte_of_assignments_is_scanned_in_linear_time():
+    import time
+
+    line = "password=abcdef{:06d}\n"
+    text = "".join(map(line.format, range(50_000)))
+    began = time.process_time()
+    found = secrets_scan.findings(text)
+    assert len(found) == 50_000 and {f[0] for f in found} == {"assign"}
+    assert time.process_time() - began < 20
