@@ -37,6 +37,35 @@ def value_bytes(df: DataFrame):
     return total
 
 
+def stored_bytes(df: DataFrame):
+    """Bytes of one row's values as they would be stored plainly, whatever their types."""
+    total = F.lit(0).cast("bigint")
+    for name, dtype in df.dtypes:
+        if dtype in ("string", "binary"):
+            size = F.octet_length(column(name))
+        elif dtype.startswith(("array", "map", "struct", "variant")):
+            size = F.octet_length(F.to_json(F.struct(column(name))))
+        elif dtype.startswith("decimal"):
+            size = F.lit(16)
+        else:
+            size = F.lit(8)
+        total = total + 4 + F.coalesce(size, F.lit(0))
+    return total
+
+
+def rows_within(df: DataFrame, file_bytes: int) -> int:
+    """How many rows a file of so many bytes may hold, by the width that 99 of 100 rows do not exceed.
+
+    Measured in one distributed aggregate, before compression, so files come out smaller.
+    """
+    if file_bytes < 1:
+        raise ValueError("a file has at least one byte")
+    width = df.agg(F.percentile_approx(stored_bytes(df), 0.99, 1000)).first()[0] or 1
+    # What describes a file: statistics with the ends of every column, and names and offsets.
+    described = 4 * width + 400 * len(df.columns)
+    return max(1, (file_bytes - described) // width)
+
+
 def measure(df: DataFrame) -> Size:
     """Rows and bytes of ``df``, in one distributed aggregate."""
     found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(value_bytes(df)).alias("b")).first()

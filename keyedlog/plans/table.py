@@ -27,7 +27,9 @@ from ..operators.rows import (
     column, dedupe, key_pairs, latest, live, partition_path, quoted, reconcile, record_key,
     semi_join, with_identity,
 )
-from ..operators.sizing import BROADCAST_ROWS, Size, broadcast_within, measure, value_bytes
+from ..operators.sizing import (
+    BROADCAST_ROWS, Size, broadcast_within, measure, rows_within, value_bytes,
+)
 from ..sources.commits import (
     BASE_KINDS, Commit, CommitRecord, Timeline, next_instant, read_commits, read_timeline,
 )
@@ -359,7 +361,8 @@ class KeyedTable:
 
         Keywords: ``meta`` (strings kept in the commit record), ``offsets`` with ``app``
         (consumed instants per source), ``parallelism`` (number of write tasks), ``options``
-        (passed to the Parquet writer, e.g. ``maxRecordsPerFile``). A merge also gives ``first``
+        (passed to the Parquet writer, e.g. ``maxRecordsPerFile``), ``file_bytes`` (largest data file,
+        kept by a number of rows measured from ``df``). A merge also gives ``first``
         (orderings before the precombine value), ``metrics`` (counts to record) and ``after`` (the
         timeline it has read).
         """
@@ -385,13 +388,27 @@ class KeyedTable:
         rows = self._current(timeline).withColumn(OP, F.lit("U"))
         return self._commit(rows, "compact", timeline.schema, after=timeline, **kwargs)
 
-    def _write(self, df: DataFrame, kind: str, first: Sequence[Column] = (), **kwargs) -> Commit:
+    def _write(
+        self, df: DataFrame, kind: str, first: Sequence[Column] = (), file_bytes: int | None = None,
+        options: Mapping[str, str] | None = None, **kwargs,
+    ) -> Commit:
         for name in (self.spec.key, self.spec.precombine, self.spec.partition):
             if name is not None and name not in df.columns:
                 raise ValueError(f"table {self.spec.name} needs column {name}")
         rows = dedupe(with_identity(df, self.spec), self.spec.precombine, first)
         incoming = df.drop(BRANCH).schema
-        return self._commit(rows.withColumn(OP, F.lit("U")), kind, incoming, **kwargs)
+        if file_bytes is not None:
+            # The record key is stored beside the column it comes from, and its Bloom filter is for as
+            # many keys as a file has rows.
+            per_file = rows_within(df.withColumn("_key", column(self.spec.key).cast("string")), file_bytes)
+            options = {
+                "maxRecordsPerFile": str(per_file),
+                "parquet.bloom.filter.adaptive.enabled": "false",
+                f"parquet.bloom.filter.expected.ndv#{RECORD_KEY}": str(per_file),
+                **(options or {}),
+            }
+        return self._commit(
+            rows.withColumn(OP, F.lit("U")), kind, incoming, options=options, **kwargs)
 
     def _commit(
         self,

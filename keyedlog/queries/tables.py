@@ -264,6 +264,26 @@ def file_sizes(spark, sf_dir):
     return files.agg((F.max("n") <= 500).alias("within"), F.sum("n").alias("n"))
 
 
+def file_bytes(spark, sf_dir):
+    """Narrow and wide rows, overwritten with writer options: no data file is larger than it may be."""
+    limit = 64 * 1024
+    orders = table(spark, sf_dir, "orders")
+    wide = orders.withColumn("note", F.expr("repeat(sha2(cast(o_orderkey as string), 256), 20)"))
+    found = None
+    for name, rows in (("narrow", orders), ("wide", wide)):
+        spec = TableSpec(name, scratch_path(spark, name), "o_orderkey", "o_orderdate")
+        kept = KeyedTable(spark, spec)
+        kept.overwrite(rows, file_bytes=limit, options={"compression": "uncompressed"})
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.parquet").load(spec.data_path)
+        for part in (
+            files.select(F.lit(name).alias("width"), F.lit(0).alias("row"), (F.col("length") <= limit).alias("within")),
+            kept.snapshot().select(F.lit(name), F.lit(1), F.lit(True)),
+        ):
+            found = part if found is None else found.unionAll(part)
+    return found.groupBy("width").agg(F.sum("row").alias("n"), F.bool_and("within").alias("within"))
+
+
 def write_parallelism(spark, sf_dir):
     """As many files as write tasks were asked for."""
     files = _files_of(spark, sf_dir, parallelism=3)
@@ -276,6 +296,7 @@ QUERIES = {
     "table_schema": table_schema,
     "schema_differences": schema_differences_query,
     "file_sizes": file_sizes,
+    "file_bytes": file_bytes,
     "write_parallelism": write_parallelism,
     "snapshot_read": snapshot_read,
     "write_overwrite": write_overwrite,
@@ -326,6 +347,8 @@ ORACLE = {
 union all select 'o_orderpriority: missing from the input'
 union all select distinct 'o_custkey: string in the input, ' || lower(typeof(o_custkey))
   || ' in the table' from orders""",
+    "file_bytes": """select width, count(*) as n, true as within
+from orders, (values ('narrow'), ('wide')) t(width) group by width""",
     "file_sizes": "select true as within, count(*) as n from orders",
     "write_parallelism": "select 3 as files, count(*) as n from orders",
     "snapshot_read": f"""with {SQL_TRIPS}

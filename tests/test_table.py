@@ -503,3 +503,20 @@ def test_enrichment_and_streams_refuse_a_second_writer(make_table, frame, monkey
     with pytest.raises(Exception, match="(?i)already exists"):
         Enrichment(source, target).execute(meanwhile)
     assert sorted(r["k"] for r in target.snapshot().collect()) == ["y", "z"]
+
+
+@pytest.mark.parametrize("partition", [None, "p"])
+def test_files_stay_within_their_bytes(make_table, spark, partition):
+    """Rows of many widths and kinds, with a hot partition; nothing compresses away."""
+    import pathlib
+
+    rows = spark.range(20_000).selectExpr(
+        "string(id) k", "if(id % 3 = 0, 'x', 'y') p", "id ts",
+        "repeat(sha2(string(id), 256), if(id % 2 = 0, 1, 6)) t", "array(id, id) a", "cast(id as decimal(38,0)) d")
+    t = make_table(partition=partition)
+    t.upsert(rows, file_bytes=200_000, options={"compression": "uncompressed"})
+    files = list(pathlib.Path(t.spec.data_path).rglob("*.parquet"))
+    assert len(files) > 10 and max(f.stat().st_size for f in files) <= 200_000
+    assert t.snapshot().count() == 20_000
+    with pytest.raises(ValueError, match="at least one byte"):
+        t.upsert(rows, file_bytes=0)
