@@ -22,7 +22,7 @@ from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,9 @@ from ..sources.commits import Timeline
 from ..spec import BEGINNING, BRANCH, NO_PARTITION, TableSpec
 from .table import KeyedTable
 
+#: Metadata of a merge's commit: how many source rows it read.
+READ = "merge.read"
+
 Transform = Callable[[Column], Column]
 
 
@@ -42,7 +45,8 @@ Transform = Callable[[Column], Column]
 class MergeResult:
     """What a merge read and wrote. ``instant`` is ``None`` when there was nothing new to read.
 
-    ``read`` counts source rows after any aggregation, and may count rows of a retried task twice.
+    ``read`` counts source rows after any aggregation, by a job of its own, so that a repeated task
+    counts once. It is kept in the commit's metadata.
     """
 
     inserted: int
@@ -262,8 +266,8 @@ class Merge:
             found = self._inputs(app, held)
             if found is None:
                 return MergeResult(0, 0)
-            observed = Observation()
-            source = found.source.observe(observed, F.count(F.lit(1)).alias("read"))
+            source = found.source
+            read = source.count()
             if found.candidates is None:
                 rows = self._inserted(source).withColumn(BRANCH, F.lit(INSERTED))
             else:
@@ -280,8 +284,8 @@ class Merge:
                 },
                 offsets={self.source.spec.name: found.end},
                 app=app, parallelism=parallelism, options=options, after=found.target,
+                meta={READ: str(read)},
             )
-            read = observed.get.get("read", 0)
         return MergeResult(commit.inserted, commit.updated, read, commit.instant)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import NO_PARTITION, KeyedTable, Merge, TableSpec
 from ..operators.rows import drop_meta
+from ..plans.merge import READ
 from ..sources.paths import scratch_path
 from .fixtures import AFTER_FIRST_DAY, FIRST_DAY, SQL_TRIPS, as_double, corrected, table, trip_table, trips
 from .tables import _numbered
@@ -48,7 +49,8 @@ def merge_agg(spark, sf_dir):
 
 def merge_stats(spark, sf_dir):
     log = _merged_fares(spark, sf_dir).commits()
-    return _numbered(log).select("seq", "rows", "inserted", "updated")
+    read = F.col("meta")[READ].cast("bigint").alias("read")
+    return _numbered(log).select("seq", "rows", "inserted", "updated", read)
 
 
 def _by_driver(spark, source, target):
@@ -242,10 +244,10 @@ ORACLE = {
 select coalesce(b.driver, a.driver) as driver, {_FARE}, coalesce(b.ts, a.ts) as ts
 from a full join b on a.driver = b.driver""",
     "merge_stats": f"""{_SUMS}
-select 1 as seq, count(*) as rows, count(*) as inserted, 0 as updated from a
+select 1 as seq, count(*) as rows, count(*) as inserted, 0 as updated, count(*) as read from a
 union all
 select 2, count(*), count(*) filter (where a.driver is null),
-  count(*) filter (where a.driver is not null)
+  count(*) filter (where a.driver is not null), count(*)
 from b left join a on a.driver = b.driver""",
     "merge_mixed": f"""{_latest_pair(_PAIR)}
 select driver, partitionpath, {_FARE}, coalesce(b.ts, a.ts) as ts
