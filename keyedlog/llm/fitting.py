@@ -6,8 +6,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Texts of more bytes take no part in a fit; they are scored like all others.
-FIT_BYTES = 50_000
+#: Characters of a text that a fit learns from: a run of so many, if the text is longer. Scores use whole texts.
+FIT_CHARACTERS = 50_000
+
+
+def fit_run(text: Column, doc_id: Column) -> Column:
+    """A text, or of a longer one a run of FIT_CHARACTERS that begins at a place by a hash of doc_id."""
+    start = F.pmod(F.xxhash64(doc_id), F.greatest(F.length(text) - FIT_CHARACTERS + 1, F.lit(1))) + 1
+    run = F.substring(text, start.cast("int"), F.lit(FIT_CHARACTERS))
+    return F.when(F.length(text) <= FIT_CHARACTERS, text).otherwise(run)
 
 
 def remainder(divisor: int) -> Column:
@@ -34,6 +41,8 @@ def first_of_each(rows: DataFrame, label: str, number: int) -> DataFrame:
 def labelled_sample(documents: DataFrame, labels: DataFrame, rows: int) -> pd.DataFrame:
     """(text, label) of at most ``rows`` documents of each label, by the order of a hash of doc_id.
 
+    Of texts of more than FIT_CHARACTERS a run is taken.
+
     ``labels`` has doc_id and label. A document labelled twice has its largest label; rows without
     id, label or text take no part.
     """
@@ -41,8 +50,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, rows: int) -> pd.Da
         F.max("label").alias("label"))
     chosen = first_of_each(one, "label", rows)
     # At most ``rows`` ids for each label.
-    texts = documents.select("doc_id", F.col("text").cast("string").alias("text")).where(
-        (F.octet_length("text") <= FIT_BYTES) & F.col("text").isNotNull())
-    found = texts.join(F.broadcast(chosen), "doc_id")
+    texts = documents.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    found = texts.join(F.broadcast(chosen), "doc_id").withColumn("text", fit_run(F.col("text"), F.col("doc_id")))
     sample = found.groupBy("doc_id", "label", "place").agg(F.min("text").alias("text")).toPandas()
     return sample.sort_values(["label", "place"])[["text", "label"]].reset_index(drop=True)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fitting import FIT_BYTES, first_of_each
+from .fitting import FIT_CHARACTERS, first_of_each
 from .text import _BYTE_VALUES, mix, slices
 
 UNKNOWN = "und"
@@ -294,7 +294,7 @@ def _runs(batches):
                     at = low + (high - low) * k // count
                     end = min(at + RUN_WORDS, high) - 1
                     piece = part.raw[part.starts[at]:part.ends[end]].tobytes()
-                    texts.append(piece.decode())
+                    texts.append(piece.decode()[:FIT_CHARACTERS])
                     langs.append(batch.column("lang")[part.first + i].as_py())
         yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()),
                                           "text": pa.array(texts, pa.string())})
@@ -302,8 +302,7 @@ def _runs(batches):
 
 def training_runs(rows: DataFrame, documents_per_label: int = SAMPLE_DOCUMENTS) -> pd.DataFrame:
     """Runs from a bounded number of documents of each language, chosen by a hash of doc_id."""
-    usable = rows.where("lang is not null and doc_id is not null").where(
-        F.octet_length(F.col("text").cast("string")) <= FIT_BYTES)
+    usable = rows.where("lang is not null and doc_id is not null and text is not null")
     chosen = first_of_each(
         usable.select("doc_id", F.col("lang").cast("string")).distinct(), "lang",
         documents_per_label)

@@ -1,9 +1,13 @@
+import random
+
 import pandas as pd
 import pyarrow as pa
 import numpy as np
 import pytest
 
-from keyedlog.llm import language_id, quality, toxicity
+from pyspark.sql import functions as F
+
+from keyedlog.llm import fitting, language_id, quality, toxicity
 from keyedlog.llm.fitting import labelled_sample, remainder
 from keyedlog.llm.queries import LLM_QUERIES
 from keyedlog.llm.text import slices
@@ -37,7 +41,8 @@ def test_sample_is_bounded_and_takes_one_label(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)] + [(1, 0), (None, 1), (2, None)],
                                    "doc_id bigint, label int")
     sample = labelled_sample(docs, labels, 10)
-    assert sorted(zip(sample["text"], sample["label"])) == [("a", 1), ("b", 0), ("c", 1)]
+    assert sorted(zip(sample["text"], sample["label"])) == [
+        ("a", 1), ("b", 0), ("c", 1), ("x" * fitting.FIT_CHARACTERS, 1)]
     assert len(labelled_sample(docs, labels, 1)) <= 2
     assert labelled_sample(docs, labels.where("false"), 10).empty
 
@@ -157,3 +162,27 @@ def test_toxicity_query_leaves_clean_documents_alone(spark, labelled):
     clean = found[found["held_out"] & (found["toxic"] == 0)]
     assert (clean["predicted"] == 0).mean() > 0.95
     assert len(found) == labels.count()
+
+
+def test_a_language_of_long_documents_only_is_learned(spark):
+    rng = random.Random(8)
+    known = {"en": "the other thing with their house".split(), "xx": "zug vrk plim snorb kwel trixt".split()}
+    rows = [(i, " ".join(rng.choices(known["en"], k=40)), "en") for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choices(known["xx"], k=15_000)), "xx") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert docs.where("lang = 'xx'").agg(F.min(F.length("text"))).first()[0] > 60_000
+    model = language_id.train(docs)
+    asked = spark.createDataFrame([(1, "snorb plim kwel zug"), (2, "the house with other thing")],
+                                  "doc_id bigint, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.predict(asked, model).collect()} == {1: "xx", 2: "en"}
+
+
+def test_a_label_of_long_documents_only_is_sampled(spark):
+    rows = [(i, "short text", 0) for i in range(10)] + [(10 + i, f"start {'word ' * 30_000}", 1) for i in range(5)]
+    rows += [(20, "字" * 40_000, 1), (21, None, 1)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, label int")
+    sample = fitting.labelled_sample(docs, labels, 100)
+    assert sorted(sample["label"]) == [0] * 10 + [1] * 6
+    sizes = sorted(len(t) for t in sample[sample["label"] == 1]["text"])
+    assert sizes == [40_000] + [fitting.FIT_CHARACTERS] * 5
