@@ -1,38 +1,43 @@
 """Nearest neighbours by a block matrix join of int8 tiles, with exact results.
 
 Vectors are scaled to length one and rounded to int8 with a scale of their own; what rounding took
-away is kept as one number, the length of the rest. Base vectors and queries are packed into tiles
-of bounded size, and every base tile meets every query tile in an equi-join on the query tile's
-number, each pair one product of two small matrices. With a = s*p + e and b = t*q + f, the product
-a.b differs from s*t*(p.q) by at most |e| + |f| + |e||f|, so each approximate cosine has a bound.
-A pair survives if its upper bound reaches the k-th largest lower bound of its query so far; only
-survivors are computed from the original vectors in double precision. Each task keeps one heap of
-the k best for each query of the tile at hand, and the heaps of all tasks are merged at the end.
-Every product is formed and bounds are never crossed, so recall is 1.
+away is kept as one number, the length of the rest. Queries are broadcast in slabs of at most
+SLAB_BYTES, and the base streams past each slab where it lies, so it is not shuffled, however many slabs there are.
+In a task every base tile meets every query tile of the slab, each pair one product of two small
+matrices. With a = s*p + e and b = t*q + f, the product a.b differs from s*t*(p.q) by at most
+|e| + |f| + |e||f|, so each approximate cosine has a bound. A pair survives if its upper bound
+reaches the k-th largest lower bound of its query so far; only survivors are computed from the
+original vectors in double precision. Each task keeps one heap of the k best for each query of the
+slab, and what the heaps of all tasks hold is ranked at the end. Every product is formed and bounds
+are never crossed, so recall is 1.
 
 All rows of one vec_id are one vector: the smallest by the order of arrays, so repeated rows count
-once. Vectors that are null, zero or hold null or non-finite components take no part, nor does a
-null vec_id. A query never finds itself; ties go to the smaller vec_id; where there are fewer than
-k candidates, all are returned. Vectors must all have one length; an empty table gives an empty one.
+once; only rows of repeated ids are shuffled for that. Vectors that are null, zero or hold null or
+non-finite components take no part, nor does a null vec_id. A query never finds itself; ties go to
+the smaller vec_id; where there are fewer than k candidates, all are returned. Vectors of different
+lengths have no cosine and are no candidates of each other; an empty table gives an empty one.
 Other columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sizing import Size, broadcast_within
 from .store import keep
 
 QUERY_TILE = 512
 BASE_TILE = 2048
+#: Bytes of the query vectors that are broadcast at a time; their int8 roundings come on top.
+SLAB_BYTES = 32 << 20
 SLACK = 1e-9
 
-TILE_SCHEMA = "tile int, ids binary, vectors binary, width int"
 FOUND_SCHEMA = "query_id bigint, vec_id bigint, score double"
 
 
@@ -43,43 +48,20 @@ def usable(vectors: DataFrame) -> DataFrame:
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x)
                     & (F.abs(x) < F.lit(float("inf"))))
     some = F.exists("embedding", lambda x: x != 0)
-    return rows.where(F.col("embedding").isNotNull() & fine & some).groupBy("vec_id").agg(
+    rows = rows.where(F.col("embedding").isNotNull() & fine & some)
+    repeated = keep(rows.groupBy("vec_id").count().where("count > 1").select("vec_id"), "repeated")
+    number = repeated.count()
+    listed = broadcast_within(repeated, Size(number, 8 * number))
+    once = rows.join(listed, "vec_id", "left_semi").groupBy("vec_id").agg(
         F.min("embedding").alias("embedding"))
-
-
-def _pack(frames):
-    """One row for each run of equal tile numbers; the rows of a tile are neighbours."""
-    tile, ids, rows = None, [], []
-
-    def packed():
-        return pd.DataFrame([(tile, np.array(ids, dtype=np.int64).tobytes(),
-                              np.stack(rows).tobytes(), len(rows[0]))],
-                            columns=["tile", "ids", "vectors", "width"])
-
-    for frame in frames:
-        for number, vec_id, vector in zip(frame["tile"], frame["vec_id"], frame["embedding"]):
-            if number != tile and ids:
-                yield packed()
-                ids, rows = [], []
-            tile = number
-            ids.append(vec_id)
-            rows.append(np.asarray(vector, dtype=np.float64))
-    if ids:
-        yield packed()
-
-
-def tiles(vectors: DataFrame, count: int) -> DataFrame:
-    numbered = vectors.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int"))
-    return numbered.repartition("tile").sortWithinPartitions("tile", "vec_id").mapInPandas(
-        _pack, TILE_SCHEMA)
+    return rows.join(listed, "vec_id", "left_anti").unionAll(once)
 
 
 class Tile:
     """Vectors of a tile: originals, int8 roundings of their unit vectors, scales and rests."""
 
-    def __init__(self, ids: bytes, vectors: bytes, width: int):
-        self.ids = np.frombuffer(ids, dtype=np.int64)
-        self.vectors = np.frombuffer(vectors, dtype=np.float64).reshape(-1, width)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
         largest = np.abs(self.vectors).max(axis=1, keepdims=True)
         unit = self.vectors / largest
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)
@@ -88,6 +70,19 @@ class Tile:
         self.rest = np.linalg.norm(unit - self.scale[:, None] * self.rounded, axis=1)
 
 
+def tiles(ids: pa.Array, embeddings: pa.Array, size: int):
+    """Tiles of at most ``size`` vectors of one length."""
+    names = ids.to_numpy(zero_copy_only=False)
+    flat = embeddings.flatten().to_numpy(zero_copy_only=False)
+    widths = embeddings.value_lengths().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(widths) - widths
+    for width in np.unique(widths):
+        rows = np.flatnonzero(widths == width)
+        for low in range(0, len(rows), size):
+            some = rows[low:low + size]
+            yield Tile(names[some], flat[starts[some][:, None] + np.arange(width)])
+
+
 def products(one: Tile, two: Tile) -> tuple[np.ndarray, np.ndarray]:
     """Approximate cosines of all pairs and the bounds of their errors.
 
@@ -108,75 +103,69 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
 
 
-def _search(k: int):
-    def run(frames):
-        number, queries, heaps = None, None, {}
-
-        def done():
-            rows = [(q, -i, s) for q, heap in heaps.items() for s, i in heap]
-            return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
-
-        for frame in frames:
-            for row in frame.itertuples():
-                if row.tile != number:
-                    if heaps:
-                        yield done()
-                    number, queries = row.tile, Tile(row.q_ids, row.q_vectors, row.width)
-                    heaps = {int(q): [] for q in queries.ids}
-                base = Tile(row.ids, row.vectors, row.width)
-                near, error = products(queries, base)
-                itself = queries.ids[:, None] == base.ids[None, :]
-                lower = np.where(itself, -np.inf, near - error)
-                n = lower.shape[1]
-                least = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(
-                    len(lower), -np.inf)
-                held = np.array([heaps[int(q)][0][0] if len(heaps[int(q)]) == k else -np.inf
-                                 for q in queries.ids])
-                least = np.maximum(least, held - SLACK)
-                left, right = np.nonzero((near + error >= least[:, None]) & ~itself)
-                for low in range(0, len(left), 1 << 14):
-                    some = slice(low, low + (1 << 14))
-                    scores = exact(queries.vectors[left[some]], base.vectors[right[some]])
-                    pairs = zip(queries.ids[left[some]].tolist(), base.ids[right[some]].tolist(),
-                                scores.tolist())
-                    for q, i, score in pairs:
-                        entry = (score, -i)
-                        if len(heaps[q]) < k:
-                            heapq.heappush(heaps[q], entry)
-                        elif entry > heaps[q][0]:
-                            heapq.heapreplace(heaps[q], entry)
-        if heaps:
-            yield done()
-    return run
-
-
-def _merge(k: int):
-    def run(found: pd.DataFrame) -> pd.DataFrame:
-        best = heapq.nsmallest(k, zip(-found["score"], found["vec_id"]))
-        query = found["query_id"].iloc[0]
-        return pd.DataFrame([(query, rank, i, -s) for rank, (s, i) in enumerate(best, 1)],
-                            columns=["query_id", "rank", "vec_id", "score"])
+def _meet(queries: Tile, base: Tile, heaps: dict, k: int) -> None:
+    """Put what a base tile has for a query tile into the heaps of its queries."""
+    near, error = products(queries, base)
+    itself = queries.ids[:, None] == base.ids[None, :]
+    lower = np.where(itself, -np.inf, near - error)
+    n = lower.shape[1]
+    least = np.partition(lower, n - k, axis=1)[:, n - k] if n > k else np.full(len(lower), -np.inf)
+    held = np.array([heaps[q][0][0] if len(heaps[q]) == k else -np.inf
+                     for q in queries.ids.tolist()])
+    least = np.maximum(least, held - SLACK)
+    left, right = np.nonzero((near + error >= least[:, None]) & ~itself)
+    for low in range(0, len(left), 1 << 14):
+        some = slice(low, low + (1 << 14))
+        scores = exact(queries.vectors[left[some]], base.vectors[right[some]])
+        pairs = zip(queries.ids[left[some]].tolist(), base.ids[right[some]].tolist(),
+                    scores.tolist())
+        for q, i, score in pairs:
+            entry = (score, -i)
+            if len(heaps[q]) < k:
+                heapq.heappush(heaps[q], entry)
+            elif entry > heaps[q][0]:
+                heapq.heapreplace(heaps[q], entry)
+
+
+def _search(slab, k: int):
+    def run(batches):
+        asked = [Tile(ids, vectors) for ids, vectors in slab.value]
+        heaps = {q: [] for tile in asked for q in tile.ids.tolist()}
+        for batch in batches:
+            for base in tiles(batch.column("vec_id"), batch.column("embedding"), BASE_TILE):
+                for queries in asked:
+                    if queries.vectors.shape[1] == base.vectors.shape[1]:
+                        _meet(queries, base, heaps, k)
+        rows = [(q, -i, s) for q, heap in heaps.items() for s, i in heap]
+        columns = list(zip(*rows)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))],
+            ["query_id", "vec_id", "score"])
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5,
+            slab_bytes: int = SLAB_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest vectors of each query, by cosine."""
+    spark = vectors.sparkSession
     base = keep(usable(vectors), "vectors")
-    asked = base.join(queries.select(F.col("vec_id").cast("bigint")).distinct(), "vec_id",
-                      "left_semi")
-    n_base, n_asked = base.count(), asked.count()
-    query_tiles = -(-n_asked // QUERY_TILE) or 1
-    base_tiles = -(-n_base // BASE_TILE) or 1
-    left = keep(tiles(asked, query_tiles), "queries").select(
-        "tile", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "width")
-    right = keep(tiles(base, base_tiles), "tiles").select("ids", "vectors", "width")
-    # Tiles of one query tile and one base tile meet; pairs of one query tile go to several tasks.
-    spread = max(1, min(base_tiles, 64))
-    right = right.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(spread)).cast("int")).withColumn(
-        "tile", F.explode(F.sequence(F.lit(0), F.lit(query_tiles - 1))))
-    left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    pairs = right.join(left, ["tile", "part", "width"]).select(
-        "tile", "q_ids", "q_vectors", "width", "ids", "vectors")
-    found = pairs.sortWithinPartitions("tile").mapInPandas(_search(k), FOUND_SCHEMA)
-    return found.groupBy("query_id").applyInPandas(
-        _merge(k), "query_id bigint, rank int, vec_id bigint, score double")
+    ids = keep(queries.select(F.col("vec_id").cast("bigint")).distinct(), "asked")
+    number = ids.count()
+    asked = keep(base.join(broadcast_within(ids, Size(number, 8 * number)), "vec_id", "left_semi"),
+                 "queries")
+    held = asked.agg(F.sum(F.size("embedding").cast("bigint") * 8 + 8)).first()[0] or 0
+    # A hash deals queries evenly, so half the bytes on average keep every slab within its bound.
+    slabs = -(-2 * held // slab_bytes) or 1
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = []
+    for slab in range(slabs):
+        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(slabs)) == slab).toArrow()
+        rows = rows.combine_chunks()
+        packed = [(t.ids, t.vectors) for chunk in rows.to_batches()
+                  for t in tiles(chunk.column("vec_id"), chunk.column("embedding"), QUERY_TILE)]
+        shared = spark.sparkContext.broadcast(packed)
+        near = base.select("vec_id", "embedding").mapInArrow(_search(shared, k), FOUND_SCHEMA)
+        ranked = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        found.append(keep(ranked.select("query_id", "rank", "vec_id", "score"), "nearest"))
+        shared.destroy()
+    return reduce(DataFrame.unionAll, found)

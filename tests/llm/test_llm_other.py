@@ -131,6 +131,23 @@ def test_few_and_no_vectors(spark):
     assert neighbours.nearest(few.where("false"), few).collect() == []
 
 
+def test_vectors_of_two_lengths_and_many_slabs(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=4 + 3 * (i % 2))], 0, 1) for i in range(60)]
+    vectors = _vectors(spark, rows)
+    found = neighbours.nearest(vectors, vectors.where("vec_id < 20"), 3).collect()
+    assert len(found) == 60 and all((r.query_id - r.vec_id) % 2 == 0 for r in found)
+    slabs = neighbours.nearest(vectors, vectors.where("vec_id < 20"), 3, slab_bytes=400)
+    assert sorted(slabs.collect()) == sorted(found)
+
+
+def test_base_vectors_are_not_shuffled(spark):
+    rows = [(i, [1.0, float(i)], 0, 1) for i in range(20)]
+    plan = neighbours.usable(_vectors(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    # Only the rows of repeated ids meet an exchange by vec_id, behind a broadcast semi join.
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
 def _windows(text, item):
     own, other = shingle_list(text), Counter(shingle_list(item))
     if not own or not other:
