@@ -5,7 +5,8 @@ within a span of SPAN letters counts DECAY to the power of its span in each word
 common subsequences is scaled by the words' own kernels. Letters that were put in, left out or set
 apart change few subsequences, so a disguised insult stays near to the plain one. A word here is a
 token's letters without any signs between them; neighbouring tokens of one letter each make one
-word, as in "i d i o t". Bytes above 127 count as one letter.
+word, as in "i d i o t". Letters are code points without case: a to z each by itself, letters of
+all other scripts in OTHERS classes by a hash, signs and marks of any script not at all.
 
 Fit, on a bounded sample of labelled documents:
 
@@ -21,7 +22,7 @@ Fit, on a bounded sample of labelled documents:
    value over all words of its whole text.
 
 The decision value is linear in a word's subsequences, so it is computed from one table of weights
-of all 28^3 subsequences, which is the machine itself and not an approximation.
+of all LETTERS^3 subsequences, which is the machine itself and not an approximation.
 
 Null texts and texts without letters have the decision value of no words, and the score that goes
 with it. With nothing to learn from, every score is 0. Rows are scored one by one; other columns
@@ -45,7 +46,8 @@ from .text import mix, slices
 SAMPLE_DOCUMENTS = 1500
 DECAY = 0.7
 SPAN = 7
-LETTERS = 28
+OTHERS = 21
+LETTERS = 27 + OTHERS
 LANDMARKS = 96
 NEGATIVES = 6000
 POSITIVES = 4000
@@ -57,23 +59,46 @@ REGULAR = 1e-4
 EPOCHS = 30
 NO_WORDS = -3.0
 
-_CODE = np.zeros(256, dtype=np.int64)
-_CODE[97:123], _CODE[65:91], _CODE[128:] = np.arange(1, 27), np.arange(1, 27), 27
+
+def _letter(code: int) -> int:
+    """The class of a code point; 0 for what is no letter."""
+    low = chr(code).lower()[0] if code < 0x110000 and not 0xD800 <= code < 0xE000 else " "
+    if not low.isalpha():
+        return 0
+    if "a" <= low <= "z":
+        return ord(low) - 96
+    return 27 + int(mix(np.array([ord(low)], dtype=np.uint64))[0] % np.uint64(OTHERS))
+
+
+_ASCII = np.array([_letter(c) if c < 128 else 0 for c in range(256)])
+
+
+def letter_codes(data: np.ndarray) -> np.ndarray:
+    """For each byte of UTF-8 the class of the letter that begins there, 0 for any other byte."""
+    codes = _ASCII[data]
+    for low, high, more in ((0xC0, 0xE0, 1), (0xE0, 0xF0, 2), (0xF0, 0x100, 3)):
+        at = np.flatnonzero((data >= low) & (data < high))
+        if not len(at):
+            continue
+        points = (data[at] - low).astype(np.int64)
+        for step in range(1, more + 1):
+            points = points * 64 + (data[at + step] & 63)
+        found, place = np.unique(points, return_inverse=True)
+        codes[at] = np.array([_letter(int(c)) for c in found])[place]
+    return codes
 
 
 class LetterWords:
     """The distinct words of a slice, as codes of letters, and where each document has them."""
 
     def __init__(self, part):
-        codes = _CODE[part.data]
+        codes = letter_codes(part.data)
         at = np.flatnonzero(codes)
         marks = np.concatenate([[0], np.cumsum(codes > 0)])
         low, high = marks[part.starts], marks[part.ends]
         some = high > low
         low, high, doc = low[some], high[some], part.word_doc[some]
-        # Bytes above 127 belong to letters of two bytes and more; a letter apart has one or two.
-        single = (high - low == 1) | (
-            (high - low == 2) & (codes[at[low]] == 27) & (codes[at[high - 1]] == 27))
+        single = high - low == 1
         joined = np.zeros(len(low), dtype=bool)
         joined[1:] = single[1:] & single[:-1] & (doc[1:] == doc[:-1])
         begin = np.flatnonzero(~joined)
@@ -164,27 +189,40 @@ def decisions(codes: np.ndarray, table: np.ndarray, bias: float) -> np.ndarray:
 
 
 def _encoded(words: list[str]) -> list[np.ndarray]:
-    return [_CODE[np.frombuffer(w.encode(), dtype=np.uint8)] for w in words]
+    whole = (letter_codes(np.frombuffer(w.encode(), dtype=np.uint8)) for w in words)
+    return [codes[codes > 0] for codes in whole]
 
 
 def _features(words: list[str]) -> np.ndarray:
-    """(words, 28^3) scaled weights of subsequences."""
+    """(words, LETTERS^3) scaled weights of subsequences."""
     out = np.zeros((len(words), LETTERS**3), dtype=np.float32)
     for i, codes in enumerate(_encoded(words)):
-        places, weights = _subsequences(codes[codes > 0][None, :])
+        places, weights = _subsequences(codes[None, :])
         np.add.at(out[i], places[0], weights)
     length = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(length > 0, length, 1)
 
 
+def _vectors(words: list[str], mapped: np.ndarray) -> np.ndarray:
+    """The Nystrom vectors of words: ``_features(words) @ mapped``, without the wide rows between."""
+    out = np.zeros((len(words), mapped.shape[1]))
+    for i, codes in enumerate(_encoded(words)):
+        places, weights = _subsequences(codes[None, :])
+        own = _own_kernel(places, weights)[0]
+        if own > 0:
+            out[i] = weights @ mapped[places[0]] / np.sqrt(own)
+    return out
+
+
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n")
-_SIGNS = re.compile(r"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
+_SIGNS = re.compile(r"[\W\d_]+")
+_SPACES = re.compile(r"[\x20\x09-\x0d]+")
 
 
 def _words(sentence: str) -> set[str]:
     """Words of a sentence as the scorer sees them, single letters joined."""
     out, run = set(), ""
-    for token in sentence.split():
+    for token in _SPACES.split(sentence):
         word = _SIGNS.sub("", token).lower()
         if len(word) == 1:
             run += word
@@ -316,21 +354,22 @@ def fit(sample: pd.DataFrame, seed: int = 5) -> dict | None:
     usable = sorted(w for w in negative if len(w) > 3)
     bad = list(random.choice(usable, min(NEGATIVES, len(usable)), replace=False))
     # Every insult also with a letter put in, as it would be written to get by.
-    spoiled = [w[:k] + chr(97 + int(random.integers(26))) + w[k:]
-               for w in good for k in [int(random.integers(1, len(w)))]]
+    spoiled = []
+    for w in good:
+        k, letter = int(random.integers(1, len(w))), int(random.integers(26))
+        spoiled.append(w[:k] + (chr(97 + letter) if w.isascii() else w[letter % len(w)]) + w[k:])
     landmarks = good[:LANDMARKS * 3 // 4] + bad[:LANDMARKS // 4]
     marks = _features(landmarks)
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(float))
     root = vectors / np.sqrt(np.maximum(values, 1e-4)) @ vectors.T
-    mapped = root.T @ marks
+    mapped = (root.T @ marks).T.astype(np.float32)
 
     def machine(bad: list[str]) -> dict:
         words = good + spoiled + bad
-        x = np.concatenate([_features(words[i:i + 500]) @ mapped.T
-                            for i in range(0, len(words), 500)])
+        x = _vectors(words, mapped)
         y = np.array([1.0] * (len(good) + len(spoiled)) + [-1.0] * len(bad))
-        w, bias = _machine(x.astype(float), y, random)
-        return {"table": w @ mapped, "bias": bias, "slope": 1.0, "offset": 0.0}
+        w, bias = _machine(x, y, random)
+        return {"table": mapped @ w, "bias": bias, "slope": 1.0, "offset": 0.0}
 
     # A second machine also learns from the clean words that the first one finds hardest.
     first = machine(bad)

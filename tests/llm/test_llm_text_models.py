@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import pandas as pd
 import pyarrow as pa
@@ -141,6 +142,61 @@ def test_toxicity_stands_some_wrong_labels(spark):
     assert all(s >= 0.3 for s in found[:3]) and found[3] < 0.3
 
 
+def _brute_kernel(one, two):
+    """The gap-weighted kernel of three letters from its definition, letter by letter."""
+    def weights(word):
+        out = {}
+        for places in combinations(range(len(word)), 3):
+            span = places[2] - places[0] + 1
+            if span <= toxicity.SPAN:
+                key = "".join(word[p] for p in places)
+                out[key] = out.get(key, 0) + toxicity.DECAY ** span
+        return out
+    a, b = weights(one), weights(two)
+    own = sum(v * v for v in a.values()) * sum(v * v for v in b.values())
+    return sum(v * b.get(key, 0) for key, v in a.items()) / own ** 0.5
+
+
+def test_kernel_against_its_definition():
+    words = ["idiot", "idxiot", "stone", "banana", "bananas", "extraordinarily", "abcabcabcabc"]
+    features = toxicity._features(words)
+    table = np.random.default_rng(1).normal(size=(features.shape[1], 5)).astype(np.float32)
+    assert np.allclose(toxicity._vectors(words, table), features @ table, atol=1e-3)
+    for i, one in enumerate(words):
+        for j, two in enumerate(words):
+            assert abs(features[i] @ features[j] - _brute_kernel(one, two)) < 1e-5
+
+
+def test_letters_of_all_scripts():
+    text = "aZ\u00e9\u0416\u0436 \u201c\u200b\u4e2d\U00020000\u0301-7\u00b2_"
+    codes = toxicity.letter_codes(np.frombuffer(text.encode(), dtype=np.uint8))
+    assert codes[:2].tolist() == [1, 26]
+    letters = codes[codes > 0]
+    assert len(letters) == 7 and letters[3] == letters[4] and all(letters[2:] >= 27)
+    one, two = (toxicity._features([w])[0] for w in ("\u0438\u0434\u0438\u043e\u0442", "\u0434\u0435\u0440\u0435\u0432\u043e"))
+    assert one @ one > 0.99 and one @ two < 0.5
+
+
+def test_toxicity_in_cyrillic(spark):
+    random = np.random.default_rng(6)
+    letters = [chr(c) for c in range(0x430, 0x450)]
+    vocabulary = ["".join(random.choice(letters, 6)) for _ in range(500)]
+    insult = "\u0431\u043b\u044b\u0440\u0433\u0445"
+    rows = []
+    for i in range(240):
+        text = list(random.choice(vocabulary[:400], 40))
+        if i % 2:
+            text[random.integers(40)] = insult
+        rows.append((" ".join(text) + ".", i % 2))
+    model = toxicity.fit(pd.DataFrame(rows, columns=["text", "label"]))
+    clean = [" ".join(random.choice(vocabulary, 40)) for _ in range(40)]
+    other = ["\u03ba\u03b1\u03bb\u03b7\u03bc\u03ad\u03c1\u03b1 \u03c3\u03b5 \u03cc\u03bb\u03bf\u03c5\u03c2", "\u4eca\u5929\u5929\u6c14\u5f88\u597d", "caf\u00e9 fran\u00e7ais"]
+    bad = [insult.upper(), f"{vocabulary[0]} {insult[:3]}\u0448{insult[3:]}", " ".join(insult), "\u201c".join(insult)]
+    found = [r.score for r in _rows(toxicity.score(documents(spark, bad + other + clean), model))]
+    assert all(s >= 0.3 for s in found[:4])
+    assert all(s < 0.3 for s in found[4:7]) and sum(s >= 0.3 for s in found[7:]) <= 2
+
+
 def test_kernel_table_is_the_machine():
     words = ["idiot", "idxiot", "stone", "ab", "banana"]
     features = toxicity._features(words)
