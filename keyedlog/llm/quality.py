@@ -3,8 +3,9 @@
 Every word stands for two units: the word itself, and its shape (kinds of its first and last two
 bytes, its case, its length, whether it holds digits). Units are hashed into a table. Random
 indexing gives each word and shape a fixed sparse vector of +1 and -1; a unit's own vector is the
-sum of the sparse vectors of the units beside it, over a bounded sample of labelled documents,
-centred and scaled to length one. A document is the mean of its words' vectors and of its shapes'
+sum of the sparse vectors of the units beside it, over all documents, labelled or not, centred and
+scaled to length one. These sums are whole numbers, so a repeated task or another order of the rows
+changes nothing; every task sends at most one row a unit. A document is the mean of its words' vectors and of its shapes'
 vectors, with the share of each kind of shape hash beside it, over the whole text. A network with
 one hidden layer turns that into a logit; a temperature, fitted on sample rows that the network was
 not trained on, turns the logit into a probability.
@@ -70,23 +71,24 @@ def index_vectors() -> np.ndarray:
     return out
 
 
-def unit_vectors(texts: list[str]) -> np.ndarray:
-    """Vectors of all units from their neighbours in the texts."""
-    fixed = index_vectors()
-    sums = np.zeros_like(fixed)
-    for part in slices(pa.array(texts, pa.string())):
-        words, shapes = _units(part)
-        if not len(words):
-            continue
-        own = fixed[words] + fixed[shapes]
-        around = fixed[shapes] * 0
-        for step in range(1, WINDOW + 1):
-            same = part.word_doc[step:] == part.word_doc[:-step]
-            around[:-step] += own[step:] * same[:, None]
-            around[step:] += own[:-step] * same[:, None]
-        for places in (words, shapes):
-            for k in range(DIMENSIONS):
-                sums[:, k] += np.bincount(places, around[:, k], minlength=len(sums))
+def _add_contexts(part, fixed: np.ndarray, sums: np.ndarray) -> None:
+    """Add, to the sum of each unit of a slice, the sparse vectors of the words beside it."""
+    words, shapes = _units(part)
+    if not len(words):
+        return
+    own = fixed[words] + fixed[shapes]
+    around = np.zeros_like(own)
+    for step in range(1, WINDOW + 1):
+        same = part.word_doc[step:] == part.word_doc[:-step]
+        around[:-step] += own[step:] * same[:, None]
+        around[step:] += own[:-step] * same[:, None]
+    for places in (words, shapes):
+        for k in range(DIMENSIONS):
+            sums[:, k] += np.bincount(places, around[:, k], minlength=len(sums))
+
+
+def _scaled(sums: np.ndarray) -> np.ndarray:
+    """Sums of contexts, centred over the units that have any, as vectors of length one."""
     used = np.abs(sums).sum(axis=1) > 0
     if used.any():
         sums[used] -= sums[used].mean(axis=0)
@@ -94,6 +96,41 @@ def unit_vectors(texts: list[str]) -> np.ndarray:
     return (sums / np.where(length > 0, length, 1)).astype(np.float32)
 
 
+def unit_vectors(texts: list[str]) -> np.ndarray:
+    """Vectors of all units from their neighbours in the texts."""
+    fixed = index_vectors()
+    sums = np.zeros(fixed.shape)
+    for part in slices(pa.array(texts, pa.string())):
+        _add_contexts(part, fixed, sums)
+    return _scaled(sums)
+
+
+def corpus_vectors(documents: DataFrame) -> np.ndarray:
+    """Vectors of all units from their neighbours in every whole text of the table.
+
+    One table of 2^UNIT_BITS rows comes to the driver, whatever the number of documents.
+    """
+    names = [f"s{k}" for k in range(DIMENSIONS)]
+
+    def run(batches):
+        fixed = index_vectors()
+        sums = np.zeros(fixed.shape)
+        for batch in batches:
+            for part in slices(batch.column("text")):
+                _add_contexts(part, fixed, sums)
+        used = np.flatnonzero(np.abs(sums).sum(axis=1))
+        columns = [pa.array(used, pa.int64())]
+        columns += [pa.array(sums[used, k].astype(np.int64)) for k in range(DIMENSIONS)]
+        yield pa.RecordBatch.from_arrays(columns, ["unit", *names])
+
+    schema = ", ".join(["unit bigint", *(f"{name} bigint" for name in names)])
+    found = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    rows = found.groupBy("unit").agg(*(F.sum(name).alias(name) for name in names)).toPandas()
+    sums = np.zeros((1 << UNIT_BITS, DIMENSIONS))
+    sums[rows["unit"].to_numpy(dtype=np.int64)] = rows[names].to_numpy(dtype=float)
+    return _scaled(sums)
+
+
 def pool(part, vectors: np.ndarray) -> np.ndarray:
     """(documents, 3 * DIMENSIONS) features of a slice."""
     out = np.zeros((part.count, 3 * DIMENSIONS), dtype=np.float32)
@@ -156,13 +193,16 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(losses))])
 
 
-def fit(sample: pd.DataFrame, seed: int = 11) -> dict | None:
-    """Vectors, network and temperature from (text, label) rows; None without both labels."""
+def fit(sample: pd.DataFrame, vectors: np.ndarray | None = None, seed: int = 11) -> dict | None:
+    """Network and temperature from (text, label) rows and the vectors of a corpus.
+
+    Without vectors, those of the rows' own texts are used. None without both labels.
+    """
     y = (sample["label"].to_numpy() > 0).astype(float)
     if not 0 < y.sum() < len(y):
         return None
     texts = sample["text"].tolist()
-    vectors = unit_vectors(texts)
+    vectors = unit_vectors(texts) if vectors is None else vectors
     x = _pooled(texts, vectors).astype(float)
     held = np.arange(len(x)) % HELD_EVERY == 0
     if not 0 < y[~held].sum() < (~held).sum():

@@ -87,7 +87,8 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").where(remainder(3) != 1)
     sample = labelled_sample(
         docs, labels.select("doc_id", F.col("quality").alias("label")), quality.SAMPLE_DOCUMENTS)
-    return _scored(quality.score(docs, quality.fit(sample)), remainder(3) == 1, 0.5)
+    model = quality.fit(sample, quality.corpus_vectors(docs))
+    return _scored(quality.score(docs, model), remainder(3) == 1, 0.5)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

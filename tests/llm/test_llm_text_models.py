@@ -242,3 +242,56 @@ def test_a_label_of_long_documents_only_is_sampled(spark):
     assert sorted(sample["label"]) == [0] * 10 + [1] * 6
     sizes = sorted(len(t) for t in sample[sample["label"] == 1]["text"])
     assert sizes == [40_000] + [fitting.FIT_CHARACTERS] * 5
+
+
+TEXTS = ["the quick Brown fox", "fox runs 42 times, the end", "", "   ", "one", "\u00e9t\u00e9 the fox the fox", "a b c d e f g"]
+
+
+def _part(text):
+    return next(slices(pa.array([text], pa.string())))
+
+
+def test_word_vectors_against_brute_force(spark):
+    fixed = quality.index_vectors()
+    sums = np.zeros(fixed.shape)
+    for text in TEXTS:
+        units = list(zip(*(u.tolist() for u in quality._units(_part(text)))))
+        for i, own in enumerate(units):
+            for j, (word, shape) in enumerate(units):
+                if 0 < abs(i - j) <= quality.WINDOW:
+                    for unit in own:
+                        sums[unit] += fixed[word] + fixed[shape]
+    used = [u for u in range(len(sums)) if any(sums[u])]
+    centre = sum(sums[u] for u in used) / len(used)
+    expected = np.zeros(fixed.shape)
+    for u in used:
+        expected[u] = (sums[u] - centre) / np.linalg.norm(sums[u] - centre)
+    docs = documents(spark, [*TEXTS, None])
+    for table in (docs.repartition(5), docs.coalesce(1)):
+        assert np.allclose(quality.corpus_vectors(table), expected, atol=1e-5)
+    assert np.allclose(quality.unit_vectors(TEXTS), expected, atol=1e-5)
+    assert not quality.corpus_vectors(docs.where("false")).any()
+
+
+def test_pooling_and_network_against_brute_force(spark):
+    random = np.random.default_rng(0)
+    vectors = random.normal(size=quality.index_vectors().shape).astype(np.float32)
+    wide = 3 * quality.DIMENSIONS
+    net = {"vectors": vectors, "mean": random.normal(size=wide), "spread": random.random(wide) + 0.5,
+           "w1": random.normal(size=(wide, quality.HIDDEN)), "b1": random.normal(size=quality.HIDDEN),
+           "w2": random.normal(size=quality.HIDDEN), "b2": 0.3, "temperature": 1.7}
+    expected = []
+    for text in TEXTS:
+        words, shapes = (u.tolist() for u in quality._units(_part(text)))
+        x = [0.0] * wide
+        for word, shape in zip(words, shapes):
+            for k in range(quality.DIMENSIONS):
+                x[k] += vectors[word][k] / len(words)
+                x[quality.DIMENSIONS + k] += vectors[shape][k] / len(words)
+            x[2 * quality.DIMENSIONS + shape % quality.DIMENSIONS] += 1 / len(words)
+        inner = [np.tanh(sum((x[i] - net["mean"][i]) / net["spread"][i] * net["w1"][i][h] for i in range(wide))
+                         + net["b1"][h]) for h in range(quality.HIDDEN)]
+        logit = sum(v * w for v, w in zip(inner, net["w2"])) + net["b2"]
+        expected.append(1 / (1 + np.exp(-logit / net["temperature"])))
+    found = [r.score for r in _rows(quality.score(documents(spark, TEXTS), net))]
+    assert np.allclose(found, expected, atol=1e-4)
