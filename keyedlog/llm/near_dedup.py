@@ -298,3 +298,36 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     columns = ["doc_id", "n_shingles", "component_id"]
     return named_rows.select(columns).unionAll(alone.select(columns)).withColumn(
         "kept", F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("component_id")))
+
+
+#: The same rows in DuckDB: a join on shingles, and everything that is reachable over links.
+SQL = r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingled as (
+  select doc_id, list_sort(list_distinct(case
+    when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end)) as s
+  from worded),
+classes as (
+  select s, min(doc_id) as rep from shingled where doc_id is not null and len(s) > 0 group by s),
+single as (select rep, len(s) as n, unnest(s) as shingle from classes),
+links as (
+  select a.rep as a, b.rep as b from single a join single b on a.shingle = b.shingle and a.rep < b.rep
+  group by a.rep, b.rep, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+steps as (select a, b from links union all select b, a from links),
+reach as (
+  select rep as node, rep as other from classes
+  union
+  select r.node, t.b from reach r join steps t on r.other = t.a),
+named as (
+  select s, component_id from classes
+  join (select node, min(other) as component_id from reach group by node) on rep = node)
+select doc_id, cast(len(shingled.s) as bigint) as n_shingles,
+  coalesce(component_id, doc_id) as component_id,
+  doc_id is not null and doc_id = coalesce(component_id, doc_id) as kept
+from shingled left join named on named.s = shingled.s and doc_id is not null
+"""

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, chat_rotation, language_id, merkle, neighbours, quality, secrets_scan, sharding, spelling,
-    toxicity,
+    byte_bpe, chat_rotation, language_id, merkle, near_dedup, neighbours, quality, secrets_scan, sharding,
+    spelling, toxicity,
 )
 from .decontamination import contaminated
 from .fitting import labelled_sample, remainder
@@ -141,6 +141,7 @@ select query_id, cast(place as integer) as rank, vec_id, score from ranked where
 
 LLM_ORACLE = {
     "op1_nearest_neighbours": NEIGHBOURS_SQL,
+    "op6_minhash_near_dedup": near_dedup.SQL,
     "op7_chat_rotation": chat_rotation.SQL,
     "op11_merkle_manifest": merkle.SQL,
     "op12_spelling_variants": spelling.SQL,
