@@ -312,7 +312,7 @@ def test_queries_with_sql(spark, name):
 
     sf_dir = "/root/testdata/sf0.001"
     with duckdb.connect() as connection:
-        for table in ("embeddings", "conversations"):
+        for table in ("documents", "embeddings", "conversations"):
             connection.sql(f"create view {table} as from '{sf_dir}/{table}.parquet'")
         df = LLM_QUERIES[name](spark, sf_dir)
         found = sorted(map(tuple, df.collect()), key=repr)
