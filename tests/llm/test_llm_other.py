@@ -277,6 +277,46 @@ def test_line_of_over_a_million_repeated_words(spark):
     assert [r.n_dropped for r in found.orderBy("doc_id").select("doc_id", "n_dropped").collect()] == [0, 1, 0]
 
 
+def _kept_bytes(spark):
+    from pathlib import Path
+
+    return sum(p.stat().st_size for p in Path(spark.conf.get("spark.checkpoint.dir")).rglob("*.parquet"))
+
+
+def test_lines_keep_less_than_their_text(spark):
+    rng = random.Random(6)
+    lines = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(25))
+             for _ in range(4_000)]
+    texts = ["\n".join(lines[i:i + 10]) for i in range(0, 4_000, 10)]
+    docs = documents(spark, texts)
+    before = _kept_bytes(spark)
+    assert line_dedup.dropped_lines(docs).collect() == []
+    assert _kept_bytes(spark) - before < sum(map(len, texts))
+
+
+def test_sketches_of_short_and_very_long_texts(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("ab\u00e9 \u4e00", k=n)) for n in (3, 10, 63, 64, 65, 100, 2_100, 70_000)]
+    docs = documents(spark, texts)
+    for size in (line_dedup.SHORT_GRAM, line_dedup.GRAM):
+        grams = spark.createDataFrame(
+            [(i, t[k:k + size]) for i, t in enumerate(texts, 1) for k in range(len(t) - size + 1)],
+            "doc_id bigint, gram string").selectExpr("doc_id", "xxhash64(gram) as h").distinct().collect()
+        found = docs.select("doc_id", line_dedup._sketch(docs["text"], size).alias("s")).collect()
+        assert {r.doc_id: r.s for r in found} == {
+            i: sorted(g.h for g in grams if g.doc_id == i)[:line_dedup.SKETCH] for i in range(1, len(texts) + 1)}
+
+
+def test_members_are_of_shared_buckets_only(spark):
+    one = "a line of quite ordinary words that is long enough to be sketched"
+    classes = spark.createDataFrame(
+        [(n, t, len(t)) for n, t in enumerate([one, one + " twice", "nothing like any of the others in here"])],
+        "node bigint, normal string, letters int")
+    found = line_dedup._members(classes, 2).collect()
+    assert {r.node for r in found} == {0, 1} and {r["first"] for r in found} == {0}
+    assert len({r.key for r in found}) * 2 == len(found)
+
+
 def test_rotation_of_odd_conversations(spark):
     rows = [(1, 0, "system", "be brief"), (1, 1, "anna", "hi <|im_end|> x"), (1, 2, "bob", None),
             (1, 2, None, "who"), (1, None, "anna", "before"), (1, 1, "anna", "hi <|im_end|> x"),
