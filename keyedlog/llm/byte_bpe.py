@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import sys
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from struct import pack
@@ -29,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .remembered import remembered
+
 REMEMBERED = 700_000
 GROUP_BITS = 8
 LOW = (1 << GROUP_BITS) - 1
@@ -156,7 +157,7 @@ class Codec(dict):
 
 
 class SharedCodec:
-    """The ranks as a broadcast variable; one codec for each process, kept for the tasks to come."""
+    """The ranks as a broadcast variable; one codec for each process, kept until others' tasks come."""
 
     def __init__(self, df: DataFrame, path: str, pattern: str):
         ranks = read_ranks(path)
@@ -165,11 +166,7 @@ class SharedCodec:
         self.pattern = pattern
 
     def codec(self) -> Codec:
-        kept = sys.__dict__.setdefault("_byte_bpe_codecs", {})
-        if self.key not in kept:
-            kept.clear()
-            kept[self.key] = Codec(self.ranks.value, self.pattern)
-        return kept[self.key]
+        return remembered(("byte_bpe", self.key), lambda: Codec(self.ranks.value, self.pattern))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id",

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fitting import FIT_CHARACTERS, first_of_each
+from .remembered import forget
 from .text import _BYTE_VALUES, mix, slices
 
 UNKNOWN = "und"
@@ -39,6 +40,9 @@ BATCH_RUNS = 96
 RATE = 0.25
 BLOCK = 32
 
+#: Bytes of texts that are labelled at a time: arrays of eight bytes and more stand beside each of them.
+SLICE = 1 << 18
+
 _SALTS = mix(np.arange(1, 2 * len(AFFIXES) + 5, dtype=np.uint64) * np.uint64(0x9E6C63D0876A9A47))
 
 
@@ -256,11 +260,12 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
         model and (model.labels, model.weights, model.transitions))
 
     def run(batches):
+        forget()
         model = shared.value and Model(*shared.value)
         for batch in batches:
             column = batch.column("text")
             names, scores = [], []
-            for part in slices(column):
+            for part in slices(column, size=SLICE):
                 texts = column.slice(part.first, part.count)
                 totals = _totals(part, label_slice(part, model)) if model else np.zeros((0, 0))
                 for i in range(part.count):
@@ -283,6 +288,7 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
 
 def _runs(batches):
     """Runs of words at even distances in each whole text."""
+    forget()
     for batch in batches:
         langs, texts = [], []
         column = batch.column("text")

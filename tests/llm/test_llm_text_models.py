@@ -1,14 +1,16 @@
 import random
+import weakref
 from itertools import combinations
 
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
 import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
 
-from keyedlog.llm import fitting, language_id, quality, toxicity
+from keyedlog.llm import byte_bpe, fitting, language_id, quality, remembered, toxicity
 from keyedlog.llm.fitting import labelled_sample, remainder
 from keyedlog.llm.queries import LLM_QUERIES
 from keyedlog.llm.text import slices
@@ -295,3 +297,28 @@ def test_pooling_and_network_against_brute_force(spark):
         expected.append(1 / (1 + np.exp(-logit / net["temperature"])))
     found = [r.score for r in _rows(quality.score(documents(spark, TEXTS), net))]
     assert np.allclose(found, expected, atol=1e-4)
+
+
+def test_language_tasks_forget_what_the_encoder_remembered(spark, monkeypatch):
+    """Codecs of a worker that Spark hands on to another stage stood beside its memory."""
+    docs = documents(spark, ["one two", None])
+    shared = byte_bpe.SharedCodec(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda rows, run, schema: run)
+    for task in (language_id.predict(docs, None), language_id._runs):
+        codec = weakref.ref(shared.codec())
+        assert codec() is shared.codec()
+        list(task(iter([])))
+        assert codec() is None and not remembered._kept()
+
+
+def test_texts_are_labelled_in_small_slices(spark, monkeypatch):
+    docs = documents(spark, ["word " * 20_000] * 8)
+    model = language_id.Model(["a", "b"], np.zeros((1 << language_id.TABLE_BITS, 2), np.float32),
+                              np.zeros((2, 2), np.float32))
+    sizes, label = [], language_id.label_slice
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda rows, run, schema: run)
+    monkeypatch.setattr(language_id, "label_slice",
+                        lambda part, model: sizes.append(len(part.data)) or label(part, model))
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(8), "text": ["word " * 20_000] * 8})
+    found = pa.Table.from_batches(language_id.predict(docs, model)(iter([batch])))
+    assert found.num_rows == 8 and sum(sizes) == 800_000 and max(sizes) <= 1 << 18
