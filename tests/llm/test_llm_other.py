@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from keyedlog.llm import byte_bpe, chat_rotation, decontamination, line_dedup, neighbours, secrets_scan
@@ -427,3 +428,29 @@ def test_a_megabyte_of_assignments_is_scanned_in_linear_time():
     found = secrets_scan.findings(text)
     assert len(found) == 50_000 and {f[0] for f in found} == {"assign"}
     assert time.process_time() - began < 20
+
+
+def test_counts_of_letters_leave_out_far_pairs_and_no_near_one(spark):
+    """Lines of equal length are told apart before they are joined with their texts; edits within the limit are not."""
+    from keyedlog.llm.line_dedup import EDIT_SHARE, _may_be_near, _measured
+
+    draw = random.Random(5)
+    lines = []
+    for length in (20, 35, 80, 400, 3000):
+        for _ in range(6):
+            line = "".join(draw.choices("eeeettaoinshrdlé ucmpgzq", k=length))
+            letters = list(line)
+            for _ in range(length // EDIT_SHARE):
+                at = draw.randrange(len(letters))
+                letters[at] = draw.choice(["", "e", "tz", "é"]) if draw.random() < 0.5 else draw.choice("aeq")
+            lines += [line, "".join(letters)]
+        lines += ["a" * length, "e" * length]
+    rows = spark.createDataFrame(list(enumerate(lines)), "node bigint, normal string").selectExpr(
+        "node", "normal", "length(normal) letters")
+    rows = rows.select("node", "normal").join(_measured(rows), "node")
+    found = rows.alias("x").join(rows.alias("y"), F.expr("x.node < y.node")).select(
+        _may_be_near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")).alias("may"),
+        F.expr(f"levenshtein(x.normal, y.normal) <= floor(greatest(x.letters, y.letters) / {EDIT_SHARE})").alias("near"),
+        (F.col("x.letters") == F.col("y.letters")).alias("equal")).collect()
+    assert any(r.near for r in found) and all(r.may for r in found if r.near)
+    assert any(r.equal and not r.may for r in found)
