@@ -283,6 +283,15 @@ def _bitmap(vocabulary: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """A side of a join that is shuffled and sorted, whatever size Spark takes it for.
+
+    A neighbourhood counts as large as the word it is made from, and a written table as large as its
+    compressed files, so Spark would have the driver hold many times its limit.
+    """
+    return df.hint("shuffle_merge")
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """(word, other, other_n) of all pairs of words (word, n) exactly one edit apart, both ways round."""
     spark = words.sparkSession
@@ -295,7 +304,7 @@ def near_words(words: DataFrame) -> DataFrame:
 
     def meeting(some: DataFrame, tasks: int, condition: Column) -> DataFrame:
         around = some.repartition(tasks, "word").mapInArrow(_neighbours(bits, bitmap), _KEYS)
-        found = around.join(others, (around["key"] == others["key"]) & condition)
+        found = _merged(around).join(_merged(others), (around["key"] == others["key"]) & condition)
         return found.select("word", "other", "other_n")
 
     differ, long = F.col("word") != F.col("other"), F.length("word") > LONG
@@ -312,7 +321,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     current = keep(forms.where("form is not null").select("word", F.col("form").alias("root")), "roots")
     while True:
         further = current.select(F.col("word").alias("_word"), F.col("root").alias("_root"))
-        joined = current.join(further, F.col("root") == F.col("_word"), "left")
+        joined = current.join(_merged(further), F.col("root") == F.col("_word"), "left")
         following = keep(joined.select("word", F.coalesce("_root", "root").alias("root"),
                                        F.col("_root").isNotNull().alias("moved")), "roots")
         if following.where("moved").limit(1).count() == 0:
@@ -326,11 +335,11 @@ def variants(words: DataFrame) -> DataFrame:
     most = F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other"))).alias("most")
     near = near_words(words).groupBy("word").agg(F.count("*").alias("n_near"), most)
     form = -F.col("most.less") >= FORM_TIMES * F.col("n")
-    forms = keep(words.join(near, "word", "left").select(
+    forms = keep(words.join(_merged(near), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(form, F.col("most.other")).alias("form"), F.when(form, -F.col("most.less")).alias("form_n")),
         "forms")
-    return forms.join(_roots(forms), "word", "left").select(
+    return forms.join(_merged(_roots(forms)), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 

@@ -133,3 +133,11 @@ def test_a_word_of_a_million_letters(spark):
 def test_no_words(spark):
     assert spelling.documents_variants(spark.createDataFrame([], DOCS)).count() == 0
     assert spelling.documents_variants(documents(spark, [None, "", "a b c", "lonely"])).count() == 0
+
+
+def test_no_side_of_a_join_is_broadcast_by_guess(spark):
+    """A few words have many neighbours each, of which Spark knows nothing when it plans."""
+    words = spark.createDataFrame([(f"word{chr(97 + i)}", 9) for i in range(20)], "word string, n bigint")
+    near = spelling.near_words(words)
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert near.count() == 20 * 19
