@@ -454,3 +454,50 @@ def test_counts_of_letters_leave_out_far_pairs_and_no_near_one(spark):
         (F.col("x.letters") == F.col("y.letters")).alias("equal")).collect()
     assert any(r.near for r in found) and all(r.may for r in found if r.near)
     assert any(r.equal and not r.may for r in found)
+
+
+def test_lines_are_chosen_by_a_bitmap_whatever_the_broadcast_limit(spark, monkeypatch):
+    """Line numbers may repeat and lie far apart; the texts are not shuffled for them."""
+    from keyedlog.operators import sizing
+
+    nodes = [0, 1, 2, 7, 8, 32_767, 32_768, 32_769, 65_536, (1 << 40) + 5]
+    lines = spark.createDataFrame([(n, f"text {n}") for n in nodes], "node bigint, normal string")
+    some = spark.createDataFrame([(n,) for n in nodes[1::2] * 2], "node bigint")
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 4)
+    found = line_dedup._chosen(lines, some)
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in found.collect()) == [(n, f"text {n}") for n in nodes[1::2]]
+    assert sorted(r.node for r in line_dedup._chosen(lines, some, inside=False).collect()) == nodes[::2]
+    assert line_dedup._chosen(lines, some.where("false")).count() == 0
+    assert line_dedup._chosen(lines, some.where("false"), inside=False).count() == len(nodes)
+
+
+def test_pairs_beyond_the_lines_are_linked_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PAIRS", 1)
+    line = "a line of some ordinary words that is repeated with one other letter {}"
+    lines = spark.createDataFrame(
+        [(i, line.format(chr(97 + i))) for i in range(12)] + [(12, "x" * 72)], "node bigint, normal string")
+    pairs = spark.createDataFrame([(a, b) for b in range(13) for a in range(b)], "a bigint, b bigint")
+    links = line_dedup._linked(pairs, lines)
+    assert len(links.inputFiles()) > 1
+    assert sorted(tuple(r) for r in links.collect()) == sorted((a, b) for b in range(12) for a in range(b))
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    import pathlib
+    import time
+
+    from keyedlog.llm.store import CLEANUP, keep
+
+    folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f.name for d in folders for f in pathlib.Path(d).rglob("shuffle_*.data")}
+
+    before, setting = shuffled(), spark.conf.get(CLEANUP)
+    kept = keep(spark.range(50_000).repartition(3, "id"), "rows")
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert kept.count() == 50_000 and spark.conf.get(CLEANUP) == setting
