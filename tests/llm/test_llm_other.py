@@ -501,3 +501,13 @@ def test_kept_tables_leave_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not shuffled() - before
     assert kept.count() == 50_000 and spark.conf.get(CLEANUP) == setting
+
+
+def test_grams_of_letters_beyond_two_bytes(spark):
+    """Letters of four bytes are one each, as in a substring."""
+    texts = ["\U0001d400\U0001d401a\U00020000\U00020001一b" * 5, "\U00020000" * 9, "abc", "abcdef"]
+    for size in (2, 6):
+        want = [[t[k:k + size] for k in range(len(t) - size + 1)] for t in texts]
+        rows = spark.createDataFrame(list(zip(texts, want)), "text string, grams array<string>").select(
+            line_dedup._grams(F.col("text"), size).alias("found"), F.transform("grams", lambda gram: F.xxhash64(gram)).alias("want"))
+        assert all(r.found == r.want for r in rows.collect())
