@@ -511,3 +511,16 @@ def test_grams_of_letters_beyond_two_bytes(spark):
         rows = spark.createDataFrame(list(zip(texts, want)), "text string, grams array<string>").select(
             line_dedup._grams(F.col("text"), size).alias("found"), F.transform("grams", lambda gram: F.xxhash64(gram)).alias("want"))
         assert all(r.found == r.want for r in rows.collect())
+
+
+def test_counts_tell_lines_of_rare_letters_apart(spark):
+    """Lines that differ in letters beyond the commonest sixteen are no pair; one spelling of them is."""
+    from keyedlog.llm.line_dedup import _may_be_near, _measured
+
+    line = "every five weeks buy a very few quick big books"
+    texts = [line, "ever five weeks buy a very few quik big books", line.translate(dict.fromkeys(map(ord, "bfvwyqk"), "z"))]
+    rows = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "node bigint, normal string, letters int")
+    sizes = _measured(rows)
+    found = sizes.alias("x").join(sizes.alias("y"), F.expr("x.node < y.node")).where(
+        _may_be_near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))).selectExpr("x.node a", "y.node b").collect()
+    assert [(r.a, r.b) for r in found] == [(0, 1)]
